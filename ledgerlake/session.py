@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 # sized by the caller (local tests: cores; cluster: ~input_bytes / 128 MiB).
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
