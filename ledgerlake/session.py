@@ -30,6 +30,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    # Strict CSV loads must see every field to detect a column-count mismatch.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 

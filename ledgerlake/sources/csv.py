@@ -11,8 +11,9 @@ the NULL tokens, converts each column to its declared type with ``try_cast`` /
 
 ``on_error="continue"`` keeps the good rows and returns the bad ones as a
 quarantine frame; ``"abort"`` fails the job on the first bad row.  The bad-row
-predicate references every column, so the CSV scan always parses whole rows
-(with column pruning a partial parse would not see a field-count mismatch).
+predicate reads the corrupt-record column; for strict formats CSV parser
+column pruning is switched off, because a parser that tokenizes only the
+projected fields does not see a field-count mismatch.
 """
 
 from __future__ import annotations
@@ -71,6 +72,9 @@ def read_text(spark: SparkSession, path: str | list[str], schema: T.StructType,
     the source file.  ``pattern`` is a regular expression that must match the
     whole file path (the reference's ``PATTERN``); ``glob`` optionally prunes
     the listing by file name first."""
+    if not fmt.ragged:
+        # A pruned parse would silently accept short / long rows.
+        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = spark.readStream if streaming else spark.read
     reader = (reader.schema(_text_schema(schema))
               .option("header", fmt.header).option("sep", fmt.sep)
