@@ -59,19 +59,21 @@ def orphan_count(fact: DataFrame, fact_key: Column, dim: DataFrame, dim_key: Col
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("Fail_Count"))
 
 
-def key_flags(dim: DataFrame, key: str, tag: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct non-NULL keys of ``dim`` tagged present, and a 1-row frame with
-    the ``NOT IN`` guards: ``{tag}_empty`` (no rows) and ``{tag}_has_null``."""
+def key_flags(dim: DataFrame, key: str, tag: str) -> tuple[DataFrame, Column, Column]:
+    """Distinct non-NULL keys of ``dim`` tagged ``{tag}_present``, plus the two
+    ``NOT IN`` guards as scalar subqueries (computed once, no join): the key
+    set is empty / the key column holds a NULL."""
     keys = (dim.select(F.col(key).alias(f"{tag}_key")).where(F.col(f"{tag}_key").isNotNull())
             .distinct().withColumn(f"{tag}_present", F.lit(True)))
-    guards = dim.agg((F.count(F.lit(1)) == 0).alias(f"{tag}_empty"),
-                     (F.count(F.lit(1)) > F.count(F.col(key))).alias(f"{tag}_has_null"))
-    return keys, guards
+    stats = dim.agg(F.struct((F.count(F.lit(1)) == 0).alias("empty"),
+                             (F.count(F.lit(1)) > F.count(F.col(key))).alias("has_null"))
+                    .alias("s")).scalar()
+    return keys, stats.getField("empty"), stats.getField("has_null")
 
 
-def not_in_true(x: Column, tag: str) -> Column:
-    """TRUE exactly when SQL ``x NOT IN (set)`` is TRUE, given columns from
-    :func:`key_flags` joined in: an empty set makes it TRUE for any x; else a
+def not_in_true(x: Column, present: Column, empty: Column, has_null: Column) -> Column:
+    """TRUE exactly when SQL ``x NOT IN (set)`` is TRUE, given ``present``
+    (the matched key flag from a left join to the distinct keys) and the
+    guards of :func:`key_flags`: an empty set makes it TRUE for any x; else a
     NULL x or a NULL in the set make it NULL (not TRUE)."""
-    return (F.col(f"{tag}_empty")
-            | (x.isNotNull() & ~F.col(f"{tag}_has_null") & F.col(f"{tag}_present").isNull()))
+    return empty | (x.isNotNull() & ~has_null & present.isNull())

@@ -305,31 +305,33 @@ def revenue_reconciliation(z: RawZone) -> DataFrame:
     ])
 
 
-def _less_orphans(z: RawZone, fact: DataFrame, checks: list[tuple[str, str, str]]) -> DataFrame:
-    """``-SUM(qty * price) WHERE k1 NOT IN (dim1) OR k2 NOT IN (dim2) ...``.
-
-    The fact is first reduced to one row per combination of the tested keys
-    (partial aggregation), then each key gets a present/absent flag from a
-    left join to the dimension's distinct keys, and the SQL NULL rules come
-    from two 1-row guard scalars per dimension (empty set / set has NULL).
+def _bridge_totals(z: RawZone, fact: DataFrame,
+                   checks: list[tuple[str, str, str]]) -> tuple[DataFrame, DataFrame]:
+    """Raw revenue and ``-SUM(qty * price) WHERE k1 NOT IN (dim1) OR ...``.
+
+    The fact is reduced once to one row per combination of the tested keys
+    (partial aggregation; hot keys collapse map-side).  The raw total sums all
+    groups; for the orphan total each key gets a present flag from a left join
+    to the dimension's distinct keys, and the SQL NULL rules come from two
+    scalar guards per dimension.  Both totals share the one aggregation.
     """
     keys = [fk for fk, _, _ in checks]
     agg = fact.groupBy(*keys).agg(F.sum(money.revenue()).alias("_rev"))
-    cond = None
+    raw = agg.agg(F.sum("_rev").cast("decimal(38,2)").alias("Revenue"))
+    flagged, cond = agg, None
     for fk, table, dk in checks:
         tag = "k_" + fk
-        present, guards = key_flags(z[table], dk, tag)
-        agg = (agg.join(z.hint(present, table), F.col(fk) == F.col(f"{tag}_key"), "left")
-                  .crossJoin(F.broadcast(guards)))          # 1 row: proven bound
-        c = not_in_true(F.col(fk), tag)
+        present, empty, has_null = key_flags(z[table], dk, tag)
+        flagged = flagged.join(z.hint(present, table), F.col(fk) == F.col(f"{tag}_key"), "left")
+        c = not_in_true(F.col(fk), F.col(f"{tag}_present"), empty, has_null)
         cond = c if cond is None else (cond | c)
-    return agg.where(cond).agg((-F.sum("_rev")).cast("decimal(38,2)").alias("Revenue"))
+    less = flagged.where(cond).agg((-F.sum("_rev")).cast("decimal(38,2)").alias("Revenue"))
+    return raw, less
 
 
 def revenue_bridge_sales(z: RawZone) -> DataFrame:
-    f = z["RAW_FACTSALES"]
-    raw = f.agg(money.total(money.revenue(), "Revenue"))
-    less = _less_orphans(z, f, [("ProductKey", "RAW_DIMPRODUCT", "ProductKey"),
+    raw, less = _bridge_totals(z, z["RAW_FACTSALES"],
+                               [("ProductKey", "RAW_DIMPRODUCT", "ProductKey"),
                                 ("StoreKey", "RAW_DIMSTORE", "StoreKey")])
     final = views.master_sales(z).agg(money.total(F.col("TotalRevenue"), "Revenue"))
     return union_all([
@@ -340,9 +342,8 @@ def revenue_bridge_sales(z: RawZone) -> DataFrame:
 
 
 def revenue_bridge_online(z: RawZone) -> DataFrame:
-    f = z["RAW_FACT_ONLINESALES"]
-    raw = f.agg(money.total(money.revenue(), "Revenue"))
-    less = _less_orphans(z, f, [("ProductKey", "RAW_DIMPRODUCT", "ProductKey")])
+    raw, less = _bridge_totals(z, z["RAW_FACT_ONLINESALES"],
+                               [("ProductKey", "RAW_DIMPRODUCT", "ProductKey")])
     final = views.master_online(z).agg(money.total(F.col("TotalRevenue"), "Revenue"))
     return union_all([
         labelled(raw, Category="Raw Source For Online Sales"),

@@ -18,9 +18,9 @@ def _spark_not_in_or(spark, dim_a, dim_b):
     db = spark.createDataFrame([(x,) for x in dim_b], "k bigint")
     out, cond = f, None
     for col, dim, tag in (("a", da, "A"), ("b", db, "B")):
-        present, guards = key_flags(dim, "k", tag)
-        out = out.join(present, F.col(col) == F.col(f"{tag}_key"), "left").crossJoin(guards)
-        c = not_in_true(F.col(col), tag)
+        present, empty, has_null = key_flags(dim, "k", tag)
+        out = out.join(present, F.col(col) == F.col(f"{tag}_key"), "left")
+        c = not_in_true(F.col(col), F.col(f"{tag}_present"), empty, has_null)
         cond = c if cond is None else cond | c
     return sorted(r["v"] for r in out.where(cond).select("v").collect())
 
