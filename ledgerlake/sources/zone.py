@@ -40,6 +40,7 @@ STANDIN_BOUNDS = {
 }
 
 MANIFEST = "_ledgerlake_manifest.json"
+FACTS = ("RAW_FACTSALES", "RAW_FACT_ONLINESALES")
 
 Bound = Union[int, Callable[[], int]]
 
@@ -128,3 +129,33 @@ class RawZone:
             spark.createDataFrame([(payload,)], "j string").coalesce(1) \
                 .write.mode("overwrite").text(f"{base}/{MANIFEST}")
         return counts
+
+    # -- catalog tables, facts bucketed by their key ------------------------
+    def write_tables(self, database: str, location: str, buckets: int) -> dict[str, int]:
+        """Full-refresh the raw zone as catalog tables under ``location``.
+
+        Facts are bucketed (and sorted) by their key into ``buckets`` files:
+        a later ``ROW_NUMBER() OVER (PARTITION BY key)`` or ``GROUP BY key``
+        over a view that joins the fact to broadcast dimensions then needs no
+        shuffle of the fact at all.  Dimensions are plain Parquet.
+        """
+        from ledgerlake.schemas import TABLE_KEYS
+        spark = next(iter(self.tables.values())).sparkSession
+        base = location.rstrip("/")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
+        for name, df in self.tables.items():
+            w = df
+            if name in FACTS:
+                key = TABLE_KEYS[name]
+                w = df.repartition(buckets, key)
+                writer = w.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+            else:
+                writer = w.write.mode("overwrite").format("parquet")
+            writer.option("path", f"{base}/{name}").saveAsTable(f"{database}.{name}")
+        return {n: spark.table(f"{database}.{n}").count() for n in self.tables}
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str,
+                     row_counts: dict[str, int] | None = None) -> "RawZone":
+        tables = {n: spark.table(f"{database}.{n}") for n in schemas.RAW_TABLES}
+        return cls(tables, dict(row_counts or {}))
