@@ -128,21 +128,22 @@ SELECT * FROM VIEW_MASTER_SALES WHERE Country IN ('Singapore', 'Malaysia', 'Thai
 SELECT * FROM VIEW_MASTER_ONLINESALES WHERE Country IN ('Singapore', 'Malaysia', 'Thailand', 'Vietnam')""",
     "VIEW_CLEAN_SALES_DATA": """
 SELECT * FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY SalesKey ORDER BY DateKey DESC NULLS FIRST,
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY SalesKey ORDER BY DateKey DESC NULLS FIRST,
       SalesQuantity ASC NULLS LAST, UnitPrice ASC NULLS LAST, TotalRevenue ASC NULLS LAST,
       Store ASC NULLS LAST, StoreType ASC NULLS LAST, Country ASC NULLS LAST,
       Continent ASC NULLS LAST, Product ASC NULLS LAST, Brand ASC NULLS LAST,
       Category ASC NULLS LAST, SubCategory ASC NULLS LAST, Year ASC NULLS LAST,
-      StoreManagerName ASC NULLS LAST) AS RowRank
+      StoreManagerName ASC NULLS LAST) AS INTEGER) AS RowRank
   FROM VIEW_MASTER_SALES) r
 WHERE RowRank = 1""",
     "VIEW_CLEAN_ONLINESALES_DATA": """
 SELECT * FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY OnlineSalesKey ORDER BY DateKey DESC NULLS FIRST,
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY OnlineSalesKey ORDER BY DateKey DESC NULLS FIRST,
       SalesQuantity ASC NULLS LAST, UnitPrice ASC NULLS LAST, TotalRevenue ASC NULLS LAST,
       CustomerName ASC NULLS LAST, Country ASC NULLS LAST, Continent ASC NULLS LAST,
       Product ASC NULLS LAST, Brand ASC NULLS LAST, Category ASC NULLS LAST,
-      SubCategory ASC NULLS LAST, Year ASC NULLS LAST, CurrencyName ASC NULLS LAST) AS RowRank
+      SubCategory ASC NULLS LAST, Year ASC NULLS LAST, CurrencyName ASC NULLS LAST) AS INTEGER)
+      AS RowRank
   FROM VIEW_MASTER_ONLINESALES) r
 WHERE RowRank = 1""",
     "VIEW_RPT_SALES_MASTER": f"""
