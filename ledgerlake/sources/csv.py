@@ -67,7 +67,8 @@ def _text_schema(schema: T.StructType) -> T.StructType:
 
 def read_text(spark: SparkSession, path: str | list[str], schema: T.StructType,
               fmt: CsvFormat = NAMED_FORMAT, pattern: str | None = None,
-              glob: str | None = None, streaming: bool = False) -> DataFrame:
+              glob: str | None = None, streaming: bool = False,
+              max_files_per_trigger: int | None = None) -> DataFrame:
     """All-text frame of the declared columns, the corrupt-record column and
     the source file.  ``pattern`` is a regular expression that must match the
     whole file path (the reference's ``PATTERN``); ``glob`` optionally prunes
@@ -82,6 +83,8 @@ def read_text(spark: SparkSession, path: str | list[str], schema: T.StructType,
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("encoding", fmt.encoding)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if pattern or glob:

@@ -131,13 +131,18 @@ class RawZone:
         return counts
 
     # -- catalog tables, facts bucketed by their key ------------------------
-    def write_tables(self, database: str, location: str, buckets: int) -> dict[str, int]:
+    def write_tables(self, database: str, location: str, buckets: int,
+                     files_per_bucket: int = 1) -> dict[str, int]:
         """Full-refresh the raw zone as catalog tables under ``location``.
 
         Facts are bucketed (and sorted) by their key into ``buckets`` files:
         a later ``ROW_NUMBER() OVER (PARTITION BY key)`` or ``GROUP BY key``
         over a view that joins the fact to broadcast dimensions then needs no
         shuffle of the fact at all.  Dimensions are plain Parquet.
+
+        Size ``buckets * files_per_bucket`` to about fact bytes / 256 MB: the
+        fact is repartitioned into that many tasks by the same hash, so each
+        task holds exactly one bucket and writes one file of it.
         """
         from ledgerlake.schemas import TABLE_KEYS
         spark = next(iter(self.tables.values())).sparkSession
@@ -147,7 +152,7 @@ class RawZone:
             w = df
             if name in FACTS:
                 key = TABLE_KEYS[name]
-                w = df.repartition(buckets, key)
+                w = df.repartition(buckets * files_per_bucket, key)
                 writer = w.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
             else:
                 writer = w.write.mode("overwrite").format("parquet")

@@ -24,9 +24,14 @@ from ledgerlake.sources.csv import FACT_BULK_FORMAT, CsvFormat, apply_schema, re
 
 def run_incremental_load(spark: SparkSession, landing: str, schema: T.StructType,
                          target: str, checkpoint: str, fmt: CsvFormat = FACT_BULK_FORMAT,
-                         pattern: str | None = None, quarantine: str | None = None) -> None:
-    """Drain newly landed files into ``target`` (rejects into ``quarantine``)."""
-    raw = read_text(spark, landing, schema, fmt, pattern=pattern, streaming=True)
+                         pattern: str | None = None, quarantine: str | None = None,
+                         max_files_per_trigger: int = 1000) -> None:
+    """Drain newly landed files into ``target`` (rejects into ``quarantine``).
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a large backlog is
+    drained in several batches of bounded size rather than one."""
+    raw = read_text(spark, landing, schema, fmt, pattern=pattern, streaming=True,
+                    max_files_per_trigger=max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
