@@ -7,9 +7,9 @@
   onto their parent dimension *before* the fact join: (F JOIN S) LEFT JOIN G
   equals F JOIN (S LEFT JOIN G) for an equality on S's columns, and this way
   the snowflake work is proportional to the dimension, not to the fact.
-* :func:`orphan_count` -- anti join counted; the fact is pre-aggregated to one
-  row per key value first (partial aggregation collapses hot keys such as -1 or
-  NULL before any shuffle).
+* :func:`orphan_count` -- unmatched keys counted; the fact is pre-aggregated to
+  one row per key value first (partial aggregation collapses hot keys such as
+  -1 or NULL before any shuffle).
 * :func:`not_in_true` -- the SQL ``x NOT IN (SELECT k FROM dim)`` truth value
   as a boolean column over a left join to the distinct keys, guarded by the
   two dimension scalars (empty set, set containing NULL).  Replaces the
@@ -51,11 +51,14 @@ def orphan_count(fact: DataFrame, fact_key: Column, dim: DataFrame, dim_key: Col
     """One row ``Fail_Count``: fact rows whose key has no match in ``dim``.
 
     Same rows as ``fact LEFT JOIN dim ON fk = dk WHERE dk IS NULL``: a NULL fact
-    key never matches, so it counts as an orphan.
+    key never matches, so it counts as an orphan.  The fact is first reduced
+    to one row per key value (a hot key becomes one row per task); the join
+    is written as left join + IS NULL because the optimizer would push an
+    anti join back below that aggregation.
     """
     per_key = fact.groupBy(fact_key.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     keys = dim.select(dim_key.alias("_dk"))
-    orphans = per_key.join(keys, F.col("_k") == F.col("_dk"), "left_anti")
+    orphans = per_key.join(keys, F.col("_k") == F.col("_dk"), "left").where(F.col("_dk").isNull())
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("Fail_Count"))
 
 

@@ -28,7 +28,6 @@ _ZONES: dict[tuple[int, str], RawZone] = {}
 
 # The reference's fact file pattern (an unescaped dot, matched on the whole path).
 FACTSALES_PATTERN = ".*FactSales_.*.csv"
-FACTONLINE_PATTERN = ".*FactOnlineSales_.*.csv"
 
 
 def _zone(spark: SparkSession, sf_dir: str) -> RawZone:
