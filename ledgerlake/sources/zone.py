@@ -33,7 +33,7 @@ STANDIN_BOUNDS = {
     "RAW_DIMPRODUCTCATEGORY": 1_000,       # regions + 1
     "RAW_DIMGEOGRAPHY": 10_000,            # nations
     "RAW_DIMEMPLOYEE": 35,                 # supplier keys 0..34
-    "RAW_DIMDATE": 400_000,                # calendar days, years 1000..2099
+    "RAW_DIMDATE": 400_000,                # one row per calendar day (~1,000 years)
     "RAW_DIMCHANNEL": 1_000,               # regions
     "RAW_DIMCURRENCY": 1_000,              # regions
     "RAW_DIMPROMOTION": 10_000,            # nations
