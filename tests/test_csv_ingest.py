@@ -114,3 +114,16 @@ def test_raw_preview_positional(spark, tmp_stage):
     path = _write(tmp_stage, "p.csv", "a,b,c\n3,x,1\n1,y,2\n2,z,3\n")
     rows = ingest.raw_preview(spark, path, ["First", "Second"], n=2).collect()
     assert [tuple(r) for r in rows] == [("1", "y"), ("2", "z")]
+
+
+def test_scheduled_preset_is_stricter_than_bulk(spark, tmp_stage):
+    """The scheduled load spells no NULL tokens and no mismatch tolerance:
+    'NULL' in a number column and a short row are errors there, not in bulk."""
+    path = _write(tmp_stage, "f.csv", "k,n,d,q\n1,a,01/01/2000,NULL\n2,b,02/01/2000\n3,\\N,,4\n")
+    dates = {"d": "dd/MM/yyyy"}
+    strict = ingest.SCHEDULED_STRICT_FORMAT.with_dates(**dates)
+    bulk = ingest.FACT_BULK_FORMAT.with_dates(**dates)
+    got_strict = ingest.load_csv(spark, path, SCHEMA, strict).good.collect()
+    got_bulk = ingest.load_csv(spark, path, SCHEMA, bulk).good.collect()
+    assert [r["k"] for r in got_strict] == [3] and got_strict[0]["n"] is None
+    assert sorted(r["k"] for r in got_bulk) == [1, 2, 3]
