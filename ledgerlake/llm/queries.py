@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import minhash
+from ledgerlake.llm import minhash, quality_rules, rulefit, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,5 +17,31 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {"op1_minhash": op1_minhash}
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.coalesce(F.sha2("kept_text", 256), "words_sha256").alias("kept_sha256"))
+
+
+def remainder(n: int) -> Column:
+    """The fold of a row: crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op6_rulefit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rulefit.train_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train=remainder(4) != 2)
+    return out.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {
+    "op1_minhash": op1_minhash,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_substrings": op4_substrings,
+    "op6_rulefit": op6_rulefit,
+}
 ORACLE: dict[str, str] = {}
