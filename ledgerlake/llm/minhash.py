@@ -14,7 +14,9 @@ that agree by chance, and pairs clearly below the threshold go.  What is left is
 verified on full shingle sets.  After joining the verified links, a key whose
 members fell into several components is searched again, its outsiders against
 all its members, in blocks of bounded size: no pair that shares a key and could
-join two components is left out, and no key is capped.
+join two components is left out, and no key is capped.  There short sets are compared in
+full and long ones by registers; of the pairs that join the same two components a
+block passes on one, so what it emits follows its members, not their pairs.
 
 Equal sets are one vertex: copies are collapsed by a 128-bit digest of the set
 before any pairing, so a hot group of copies is one row per task.
@@ -45,7 +47,9 @@ BANDS = 40
 #: Standard deviations of the estimate by which a pair may miss the threshold and still be verified.
 SLACK = 5.0
 #: Members in a block when a key is searched again.
-BLOCK = 2000
+BLOCK = 500
+#: Sets up to this size travel in full (32 bits a shingle) when a key is searched again.
+SHORT = 700
 
 _LOG = int(np.log2(REGISTERS))
 
@@ -103,23 +107,25 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for lo, hi, buf, off in tb.text_blocks(batch.column(1)):
-            n, one, two, regs = [], [], [], []
+            n, one, two, regs, short = [], [], [], [], []
             for s in shingle_sets(buf, off):
                 n.append(len(s))
                 a, b = _digest(s) if len(s) else (0, 0)
                 one.append(a)
                 two.append(b)
                 regs.append(registers(s).tobytes() if len(s) else None)
+                short.append((s & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) if 0 < len(s) <= SHORT else None)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), pa.array(regs, pa.binary())],
-                names=["doc_id", "n_shingles", "set_1", "set_2", "registers"])
+                 pa.array(two, pa.int64()), pa.array(regs, pa.binary()), pa.array(short, pa.list_(pa.int32()))],
+                names=["doc_id", "n_shingles", "set_1", "set_2", "registers", "short"])
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, n_shingles, 128-bit digest of the set, registers (null for an empty set)."""
+    """(doc_id, text) -> doc_id, n_shingles, 128-bit digest of the set, registers (null for an
+    empty set), short (32 bits of each shingle of sets up to SHORT, else null)."""
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _signatures, "doc_id long, n_shingles long, set_1 long, set_2 long, registers binary")
+        _signatures, "doc_id long, n_shingles long, set_1 long, set_2 long, registers binary, short array<int>")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -200,35 +206,68 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.ListArray.from_arrays(ends, values)], names=["doc", "shingles"])
 
 
-def verified_pairs(pairs: DataFrame, documents: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def shingles_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """wanted (doc_id) -> doc, shingles: the sets of those documents, from their texts."""
+    # sorted and merged at any size: the list of wanted documents follows the input
+    texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
+    return texts.mapInArrow(_sets, "doc long, shingles array<long>")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
+
+def verified_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = documents.select("doc_id", "text").join(needed, "doc_id", "left_semi").mapInArrow(_sets, "doc long, shingles array<long>")
-    sets = scratch.table(sets)
     both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
 
 
+def _search(rows: pa.Table, share: float) -> list[tuple[int, int]]:
+    """Links of one block that join components: outsiders against all members."""
+    doc, out = np.asarray(rows["doc"]), np.asarray(rows["outsider"])
+    n, regs = np.asarray(rows["n_shingles"]).astype(float), _matrix(rows["registers"].chunk(0))
+    comp = np.unique(np.asarray(rows["component"]), return_inverse=True)[1]
+    values = rows["short"].chunk(0)
+    size = np.asarray(values.value_lengths().fill_null(0))
+    place, code = np.cumsum(size) - size, np.unique(values.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    mark = np.zeros(len(code) + 1, dtype=bool)
+    short = size > 0
+    members = np.flatnonzero(out != 1)
+    # members with sets in full, one after the other
+    full = members[short[members]]
+    at, begin = tb.ranges(place[full], size[full]), np.cumsum(size[full]) - size[full]
+    found: list[tuple[int, int]] = []
+    for i in np.flatnonzero(out != 0).tolist():
+        likeness = np.zeros(len(doc))
+        if short[i] and len(full):
+            own = code[place[i]:place[i] + size[i]]
+            mark[own] = True
+            common = np.add.reduceat(mark[code[at]], begin, dtype=np.int64)
+            mark[own] = False
+            likeness[full] = common / (size[i] + size[full] - common)
+        rest = members[comp[members] != comp[i]] if not short[i] else members[~short[members] & (comp[members] != comp[i])]
+        if len(rest):
+            ok = _passes(regs[rest], regs[i:i + 1], n[rest], n[i], share)
+            likeness[rest[ok]] = -1.0  # possible: to be verified
+        near = np.flatnonzero((likeness >= share - 1e-9) & (comp != comp[i]))
+        near = near[np.argsort(-likeness[near], kind="stable")]
+        for j in near.tolist():
+            if comp[j] != comp[i]:
+                found.append((int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))))
+                comp[comp == comp[j]] = comp[i]
+        found += [(int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))) for j in np.flatnonzero((likeness < 0) & (comp != comp[i])).tolist()]
+    return found
+
+
 def _again(share: float):
-    """Rows sorted by group; in each, outsiders against all members of other components."""
-    def search(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        t = pa.Table.from_batches(rows).combine_chunks()
-        doc, comp, out = (np.asarray(t.column(n)) for n in ("doc", "component", "outsider"))
-        n, regs = np.asarray(t.column("n_shingles")).astype(float), _matrix(t.column("registers").chunk(0))
-        asks = np.flatnonzero(out != 0)
-        members = np.flatnonzero(out != 1)
-        found = [], []
-        for i in asks.tolist():
-            with_ = members[(comp[members] != comp[i])]
-            if len(with_):
-                ok = with_[_passes(regs[with_], regs[i:i + 1], n[with_], n[i], share)]
-                found[0].append(np.minimum(doc[ok], doc[i]))
-                found[1].append(np.maximum(doc[ok], doc[i]))
-        if not sum(map(len, found[0])):
-            return None
-        both = np.unique(np.stack([np.concatenate(x) for x in found], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+    """Rows sorted by block."""
+    def search(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        found = sorted(set(_search(rows, share)))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -237,21 +276,20 @@ def _again(share: float):
             if not batch.num_rows:
                 continue
             key = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(3)], axis=1)
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-                if last is not None and tuple(key[lo]) != last and held:
-                    if (found := search(held)) is not None:
-                        yield found
+            cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if held and tuple(key[lo]) != last:
+                    yield from search(held)
                     held = []
                 last = tuple(key[lo])
                 held.append(batch.slice(lo, hi - lo))
-        if held and (found := search(held)) is not None:
-            yield found
+        if held:
+            yield from search(held)
     return run
 
 
 def open_pairs(reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of different components that share a band key and weren't paired by the star."""
+    """Pairs that share a band key, may join two components and weren't decided by the star."""
     named = reps.join(labels.toDF("doc", "component"), "doc", "left") \
         .select("registers", "doc", F.coalesce("component", "doc").alias("component"))
     rows = named.mapInArrow(_bands, "key long, doc long, component long")
@@ -261,13 +299,13 @@ def open_pairs(reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     every = F.sequence(F.lit(0), blocks - 1)
-    # outsiders of block i meet the members of block j; a row is 0: member, 1: outsider, 2: both (i = j)
+    # the outsiders of block i meet the members of block j; 0: a member, 1: an outsider, 2: both
     asks = inside.where("outside").select("key", "doc", "component", own.alias("i"), F.explode(every).alias("j")) \
         .select("key", "i", "j", "doc", "component", F.when(F.col("i") == F.col("j"), 2).otherwise(1).alias("outsider"))
     members = inside.select("key", "doc", "component", "outside", own.alias("j"), F.explode(every).alias("i")) \
         .where("not (outside and i = j)").select("key", "i", "j", "doc", "component", F.lit(0).alias("outsider"))
-    groups = asks.union(members).join(reps.select("doc", "registers", "n_shingles"), "doc") \
-        .select("key", "i", "j", "doc", "component", "outsider", "n_shingles", "registers")
+    groups = asks.union(members).join(reps.select("doc", "registers", "n_shingles", "short"), "doc") \
+        .select("key", "i", "j", "doc", "component", "outsider", "n_shingles", "registers", "short")
     groups = groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc")
     return groups.mapInArrow(_again(percent / 100), "a long, b long").distinct()
 
@@ -292,19 +330,22 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PE
                            .join(classes, ["set_1", "set_2", "n_shingles"]).select("doc_id", "doc", "set_1", "set_2"))
     chosen = member.where("doc_id = doc").select("doc", "set_1", "set_2").distinct()
     reps = scratch.table(whole.withColumnRenamed("doc_id", "doc").join(chosen, ["doc", "set_1", "set_2"])
-                         .select("registers", "doc", "n_shingles").dropDuplicates(["doc", "registers"]))
+                         .select("registers", "doc", "n_shingles", "short").dropDuplicates(["doc", "registers"]))
 
     rows = reps.select("registers", "doc").mapInArrow(_bands, "key long, doc long")
     hubs = rows.groupBy("key").agg(F.min("doc").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     star = rows.join(hubs, "key").where("hub <> doc").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
     likely = scratch.table(likely_pairs(star, reps, percent))
-    links = scratch.table(verified_pairs(likely, documents, percent, scratch))
+    sets = scratch.table(shingles_of(ends(likely), documents))
+    links = scratch.table(verified_pairs(likely, sets, percent))
     # rows that share a doc_id tie the classes of their texts together
     ties = member.where("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     labels = scratch.table(components(spark, links, scratch))
-    more = scratch.table(open_pairs(reps, labels, percent))
-    more = scratch.table(verified_pairs(more.join(likely, ["a", "b"], "left_anti"), documents, percent, scratch))
+    more = scratch.table(open_pairs(reps, labels, percent).join(likely, ["a", "b"], "left_anti"))
     if more.limit(1).count():
+        missing = scratch.table(ends(more).join(sets.select(F.col("doc").alias("doc_id")), "doc_id", "left_anti"))
+        late = documents.select("doc_id", "text").join(missing, "doc_id", "left_semi").mapInArrow(_sets, "doc long, shingles array<long>")
+        more = scratch.table(verified_pairs(more, sets.union(late), percent))
         labels = scratch.table(components(spark, links.union(more), scratch))
     shared = member.groupBy("doc_id").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least <> most")
     if shared.limit(1).count():
