@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import minhash, quality_rules, rulefit, substrings
+from ledgerlake.llm import minhash, packing, quality_rules, rulefit, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +39,15 @@ def op6_rulefit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_substrings": op4_substrings,
     "op6_rulefit": op6_rulefit,
+    "op9_packing": op9_packing,
 }
 ORACLE: dict[str, str] = {}
