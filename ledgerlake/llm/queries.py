@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import minhash, packing, quality_rules, rulefit, substrings
+from ledgerlake.llm import minhash, packing, quality_rules, rulefit, secrets, substrings, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,24 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_shingles", "component_id", "kept")
 
 
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return urlrules.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secrets.find(documents, secrets.learn(spark, documents), "doc_id")
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in secrets.KINDS],
+                        F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -45,9 +63,31 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_url_rules": op2_url_rules,
     "op3_quality_rules": op3_quality_rules,
     "op4_substrings": op4_substrings,
     "op6_rulefit": op6_rulefit,
+    "op7_secrets": op7_secrets,
     "op9_packing": op9_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_url_rules": """
+with cut as (
+  select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) end as rest from pages),
+parts as (
+  select page_id,
+         coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path
+  from cut),
+rules(rule, rule_host, rule_path, verdict) as (values
+  ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+  ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+judged as (
+  select page_id, host, path,
+         (select max_by(struct_pack(rule := rule, verdict := verdict), length(rule)) from rules
+          where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)) as best
+  from parts)
+select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict from judged
+""",
+}
