@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import minhash, packing, quality_rules, rulefit, secrets, substrings, urlrules
+from ledgerlake.llm import lm, minhash, packing, quality_rules, rulefit, secrets, substrings, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,11 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm.interpolated(spark, table(spark, sf_dir, "documents"), remainder(7) != 2, remainder(7) == 3)
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_rulefit(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rulefit.train_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train=remainder(4) != 2)
     return out.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
@@ -66,6 +71,7 @@ QUERIES = {
     "op2_url_rules": op2_url_rules,
     "op3_quality_rules": op3_quality_rules,
     "op4_substrings": op4_substrings,
+    "op5_lm": op5_lm,
     "op6_rulefit": op6_rulefit,
     "op7_secrets": op7_secrets,
     "op9_packing": op9_packing,
