@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import lm, minhash, packing, quality_rules, rulefit, secrets, substrings, urlrules
+from ledgerlake.llm import fingerprints, lm, minhash, packing, quality_rules, rulefit, secrets, substrings, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_url_rules": op2_url_rules,
@@ -75,6 +79,7 @@ QUERIES = {
     "op6_rulefit": op6_rulefit,
     "op7_secrets": op7_secrets,
     "op9_packing": op9_packing,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLE: dict[str, str] = {
     "op2_url_rules": """
