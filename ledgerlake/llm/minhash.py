@@ -357,3 +357,13 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PE
     out = signed.select("doc_id", "n_shingles").join(of, "doc_id", "left") \
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def without_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents, with all their columns, that are the smallest doc_id of their component; of repeated rows of a doc_id, one."""
+    marked = near_duplicates(spark, documents, percent)
+    gone = marked.where("not kept").select("doc_id").distinct()
+    out = documents.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    if documents.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        out = out.where("doc_id is null").union(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    return out

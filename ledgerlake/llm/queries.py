@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import fingerprints, lm, minhash, packing, quality_rules, rulefit, secrets, substrings, urlrules
+from ledgerlake.llm import fingerprints, lm, minhash, mixing, packing, quality_rules, rulefit, secrets, substrings, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op6_rulefit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op5_lm": op5_lm,
     "op6_rulefit": op6_rulefit,
     "op7_secrets": op7_secrets,
+    "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
 }

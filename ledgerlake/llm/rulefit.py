@@ -133,6 +133,24 @@ def compiled(intercept: float, rules: list[tuple[Rule, float]]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
+def learn(table: DataFrame, labels: DataFrame, train: Column | None = None) -> Column:
+    """The score as an expression over the statistics, from the stats.COUNTS of a table with doc_id and labels (doc_id, quality, ..)."""
+    rates = stats.features()
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
+        .where("doc_id is not null and quality in (0, 1)")
+    if train is not None:
+        marks = marks.where(train)
+    sample = table.join(marks, "doc_id").select(*[c.alias(n) for n, c in rates.items()], "quality", F.xxhash64("doc_id").alias("h"), "doc_id") \
+        .orderBy("h", "doc_id", "quality", *rates).limit(SAMPLE).select(*rates, "quality")
+    rows = np.array([list(r) for r in sample.collect()], dtype=float)  # SAMPLE rows of a few numbers at most
+    return compiled(*fit(rows[:, :-1], rows[:, -1], list(rates))) if len(rows) else F.lit(1.0)
+
+
+def scored(table: DataFrame, score: Column) -> DataFrame:
+    """The table with its statistics and score."""
+    return table.select("*", *[c.alias(n) for n, c in stats.features().items()]).withColumn("score", score)
+
+
 def train_scores(spark: SparkSession, documents: DataFrame, labels: DataFrame,
                  train: Column | None = None, threshold: float = 0.7) -> DataFrame:
     """documents (doc_id, text, ..), labels (doc_id, quality, ..) -> doc_id, stats.COUNTS, score, predicted.
@@ -142,20 +160,16 @@ def train_scores(spark: SparkSession, documents: DataFrame, labels: DataFrame,
     a null doc_id or quality are ignored.  With no usable labels every row scores 1:
     nothing is known against it.  Other columns are ignored.
     """
-    scratch = Scratch(spark, "rulefit")
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    table = scratch.table(stats.with_counts(documents, "doc_id"))
-    rates = stats.features()
-    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
-        .where("doc_id is not null and quality in (0, 1)")
-    if train is not None:
-        marks = marks.where(train)
-    sample = table.join(marks, "doc_id").select(*[c.alias(n) for n, c in rates.items()], "quality", F.xxhash64("doc_id").alias("h"), "doc_id") \
-        .orderBy("h", "doc_id", "quality", *rates).limit(SAMPLE).select(*rates, "quality")
-    rows = np.array([list(r) for r in sample.collect()], dtype=float)  # SAMPLE rows of a few numbers at most
-    if len(rows):
-        score = compiled(*fit(rows[:, :-1], rows[:, -1], list(rates)))
-    else:
-        score = F.lit(1.0)
-    out = table.select("doc_id", *stats.COUNTS, *[c.alias(n) for n, c in rates.items()]).withColumn("score", score)
-    return out.select("doc_id", *stats.COUNTS, "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+    table = Scratch(spark, "rulefit").table(stats.with_counts(documents, "doc_id"))
+    return scored(table, learn(table, labels, train)).select(
+        "doc_id", *stats.COUNTS, "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def accepted(spark: SparkSession, documents: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """The documents, with all their columns, whose score reaches the threshold."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    score = learn(Scratch(spark, "rulefit").table(stats.with_counts(rows, "doc_id")), labels)
+    kept = [f"__kept_{i}" for i in range(len(documents.columns))]  # names that no statistic has
+    held = documents.toDF(*kept).withColumn("text", F.col(kept[documents.columns.index("text")]))
+    return scored(stats.with_counts(held, *kept), score).where(F.col("score") >= threshold).select(*kept).toDF(*documents.columns)
