@@ -36,7 +36,7 @@ OCTAVES = 44
 CLASSES = 16
 PERIOD = 1 << 16
 BANDS = 24
-BAND_BITS = 14
+BAND_BITS = 12
 
 _PIECE = 1024
 
@@ -209,7 +209,7 @@ def fingerprints(spark: SparkSession, documents: DataFrame) -> DataFrame:
 def _band_keys(p: Print) -> list[int]:
     """Bands of sampled bits: each takes BAND_BITS random bits of two neighbouring octaves."""
     out = []
-    for o in range(5, OCTAVES - 1):
+    for o in range(6, OCTAVES - 1):
         begin = int(np.searchsorted(_STEPS, 1 << o))
         if begin + 2 * SAMPLES > len(p[1]):
             break
@@ -223,14 +223,14 @@ def _band_keys(p: Print) -> list[int]:
 def similar(prints: DataFrame, least: float = 0.9) -> DataFrame:
     """prints (doc_id, fingerprint) -> pairs (a, b, likeness) of class representatives; equal fingerprints are one class.
 
-    A class is named by its smallest doc_id.  Candidates share a band of sampled bits in the last whole octaves and are
+    A class is named by its smallest doc_id.  Candidates share a band of sampled bits in two whole octaves and are
     paired with the smallest class of the band; pairs below ``least`` go.
     """
     classes = prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("doc"))
 
     def bands(batches):
         for batch in batches:
-            keys = [_band_keys(read(s))[-2 * BANDS:] for s in batch.column(0).to_pylist()]
+            keys = [_band_keys(read(s)) for s in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).take(pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))), pa.array([x for k in keys for x in k], pa.int64())],
                 names=["doc", "key"])

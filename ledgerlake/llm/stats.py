@@ -33,6 +33,8 @@ _CONTINUED[0x80:0xC0] = True
 
 def _repeats(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of entries that occur again in their row, and of those that aren't the first."""
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     key = hashes ^ tb.mix(row.astype(np.uint64) + np.uint64(1))
     order = np.argsort(key, kind="stable")
     key = key[order]
@@ -60,7 +62,7 @@ def counts(buf: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
 
     at, row = tb.window_rows(first, WINDOW)
     hashes = tb.window_hashes(tb.span_hashes(buf, starts, ends), WINDOW)
-    both, _ = _repeats(row, hashes[at]) if len(at) else (np.zeros(0, np.int64), None)
+    both, _ = _repeats(row, hashes[at] if len(at) else hashes)
     edge = np.bincount(at[both], minlength=len(starts) + 1)
     edge[WINDOW:] -= edge[:-WINDOW].copy()
     covered = np.r_[0, np.cumsum(np.cumsum(edge) > 0)]
