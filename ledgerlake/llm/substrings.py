@@ -32,9 +32,6 @@ from ledgerlake.llm.scratch import Scratch
 
 WORDS = 50
 
-_VARIANT = 1 << 40
-
-
 def _least_in(values: np.ndarray, width: int) -> np.ndarray:
     """The smallest of each ``width`` consecutive values."""
     out, have = values, 1
@@ -67,6 +64,11 @@ def _sequence_digest(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray,
     return out[0], out[1]
 
 
+def tag(row: np.ndarray) -> np.ndarray:
+    """Tells the hashes of one row from those of another."""
+    return tb.mix(row.astype(np.uint64) + np.uint64(1))
+
+
 def _first_pass(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,13 +101,16 @@ def _second_pass(words: int):
                 seeds = batch.column(3).slice(lo, hi - lo)
                 repeated = seeds.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
                 owner = np.repeat(np.arange(hi - lo), np.asarray(seeds.value_lengths().fill_null(0)))
-                tag = lambda r: tb.mix(r.astype(np.uint64) + np.uint64(1))
                 keep = np.isin(least ^ tag(row), repeated ^ tag(owner))
                 at, row = at[keep], row[keep]
+                one = tb.window_hashes(hashes, words)
+                # a window that a text holds many times is one row
+                once = np.unique(one[at] ^ tag(row), return_index=True)[1] if len(at) else at
+                at, row = at[once], row[once]
+                two = tb.window_hashes(hashes, words, 0x7F4A7C15)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tb.signed(tb.window_hashes(hashes, words)[at])), pa.array(tb.signed(tb.window_hashes(hashes, words, 0x7F4A7C15)[at])),
-                     pa.array(ids[lo:hi][row]), pa.array(at - first[:-1][row] + variant[lo:hi][row] * _VARIANT)],
-                    names=["h1", "h2", "doc_id", "at"])
+                    [pa.array(tb.signed(one[at])), pa.array(tb.signed(two[at])), pa.array(ids[lo:hi][row]), pa.array(variant[lo:hi][row])],
+                    names=["h1", "h2", "doc_id", "variant"])
     return run
 
 
@@ -114,9 +119,12 @@ def _cut(words: int):
         for batch in batches:
             for lo, hi, buf, off in tb.text_blocks(batch.column(0)):
                 starts, ends, first = tb.word_spans(buf, off)
+                hashes = tb.span_hashes(buf, starts, ends)
+                at, row = tb.window_rows(first, words)
                 marks = batch.column(1).slice(lo, hi - lo)
                 owner = np.repeat(np.arange(hi - lo), np.asarray(marks.value_lengths().fill_null(0)))
-                begin = first[:-1][owner] + marks.flatten().to_numpy(zero_copy_only=False) % _VARIANT
+                foreign = marks.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                begin = at[np.isin(tb.window_hashes(hashes, words)[at] ^ tag(row), foreign ^ tag(owner))]
                 edge = np.bincount(begin, minlength=len(starts) + 1) - np.bincount(begin + words, minlength=len(starts) + 1)
                 gone = np.cumsum(edge)[:-1] > 0
                 raw, kept = buf.tobytes(), []
@@ -164,11 +172,11 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, words: int = WORDS
         texts = texts.withColumn("variant", F.lit(1).cast("long"))
     texts = scratch.table(texts.select("doc_id", "variant", "same", "text", "seeds"))
     windows = texts.select("doc_id", "variant", "text", "seeds").mapInArrow(
-        _second_pass(words), "h1 long, h2 long, doc_id long, at long")
+        _second_pass(words), "h1 long, h2 long, doc_id long, variant long")
     owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")) \
         .where("least <> most").select("h1", "h2", "least")
-    marks = windows.join(owners, ["h1", "h2"]).where("doc_id > least").select("doc_id", "at") \
-        .groupBy("doc_id", F.expr(f"at div {_VARIANT}L").alias("variant")).agg(F.collect_list("at").alias("marks"))
+    marks = windows.join(owners, ["h1", "h2"]).where("doc_id > least") \
+        .groupBy("doc_id", "variant").agg(F.collect_list("h1").alias("marks"))
     cut = texts.join(marks, ["doc_id", "variant"]).select("text", "marks", "doc_id", "same") \
         .mapInArrow(_cut(words), "doc_id long, same long, n_removed long, kept_text string")
     cut = scratch.table(cut.dropDuplicates(["doc_id", "same"]))
