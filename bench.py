@@ -44,9 +44,9 @@ def main() -> None:
 
     zone_path = scratch_path(spark, "bench-raw-zone")
     derived = RawZone.from_driver(spark, sf_dir)
-    counts: dict[str, int] = {}
-    load_s = timed(lambda: counts.update(derived.write_tables("ledgerlake_raw", zone_path, cpus)))
-    zone = RawZone.from_catalog(spark, "ledgerlake_raw", counts)
+    sizes: dict = {}
+    load_s = timed(lambda: sizes.update(derived.write_tables("ledgerlake_raw", zone_path, cpus)))
+    zone = RawZone.from_catalog(spark, "ledgerlake_raw", sizes)
 
     times: dict[str, float] = {}
     for name in HEADLINE:

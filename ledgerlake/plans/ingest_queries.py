@@ -18,7 +18,9 @@ from ledgerlake import oracle, schemas
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.csv import as_text, rotating_null_token, write_csv, write_lines
 from ledgerlake.sources import csv as ingest
-from ledgerlake.sources.zone import RawZone
+from ledgerlake.plans import views
+from ledgerlake.sinks.parquet import publish
+from ledgerlake.sources.zone import LOADS, RawZone
 from ledgerlake.streaming.incremental import read_loaded, run_incremental_load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,7 +134,7 @@ def csv_on_error_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A7 -- ragged rows: short rows (trailing empty fields cut) and long rows
 # (an extra field) load under the tolerant fact format.
-def csv_ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stage_ragged(spark: SparkSession, sf_dir: str) -> str:
     z = _zone(spark, sf_dir)
     stage = scratch_path(spark, "stage")
     fmt = ingest.FACT_BULK_FORMAT
@@ -149,7 +151,11 @@ def csv_ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("channelKey") == "3", F.concat(full, F.lit(",extra")))
              .otherwise(full))
     write_lines(t.select(line.alias("line")), ",".join(names), f"{stage}/FactSales_ragged")
-    return ingest.load_csv(spark, f"{stage}/FactSales_ragged", schemas.RAW_FACTSALES, fmt,
+    return f"{stage}/FactSales_ragged"
+
+
+def csv_ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.load_csv(spark, _stage_ragged(spark, sf_dir), schemas.RAW_FACTSALES, ingest.FACT_BULK_FORMAT,
                            on_error="continue").good
 
 
@@ -160,7 +166,46 @@ DATE_PREVIEW = ["DateKey", "CalendarYear", "CalendarYearLabel"]
 def csv_raw_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = scratch_path(spark, "stage")
     _stage_table(_zone(spark, sf_dir), "RAW_DIMDATE", f"{stage}/DimDate.csv", ingest.NAMED_FORMAT)
-    return ingest.raw_preview(spark, f"{stage}/DimDate.csv", DATE_PREVIEW, n=10)
+    return ingest.raw_preview(spark, f"{stage}/DimDate.csv", DATE_PREVIEW, n=10, ordered=True)
+
+
+# A1 -- quoted text with line breaks, in a format that reads rows whole
+def csv_quoted_newline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = scratch_path(spark, "stage")
+    fmt = LOADS["RAW_DIMPRODUCT"][1]
+    _stage_table(_zone(spark, sf_dir), "RAW_DIMPRODUCT", f"{stage}/DimProduct.csv", fmt,
+                 overrides={"ProductName": F.concat(F.col("ProductName"), F.lit("\nsecond line, \"quoted\""))})
+    return ingest.load_csv(spark, f"{stage}/DimProduct.csv", schemas.RAW_DIMPRODUCT, fmt).good
+
+
+# A7 -- a strict format drops short and long rows, however few columns are read
+def csv_strict_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stage_ragged(spark, sf_dir)
+    return ingest.load_csv(spark, path, schemas.RAW_FACTSALES, ingest.SCHEDULED_STRICT_FORMAT).good.select("SalesKey", "channelKey")
+
+
+def stage_extracts(z: RawZone, stage: str) -> None:
+    """All 13 tables as the CSV extracts that ``LOADS`` expects."""
+    for table, (where, fmt, _) in LOADS.items():
+        if where.startswith(".*"):
+            _stage_fact(z[table], f"{stage}/{where.strip('.*').split('_')[0]}_1", fmt)
+        else:
+            _stage_table(z, table, f"{stage}/{where}", fmt)
+
+
+# A1-A7, B1 -- 13 extracts to a raw zone to the reporting view
+def rpt_sales_master_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "extracts")
+    stage_extracts(_zone(spark, sf_dir), f"{base}/stage")
+    return views.rpt_sales_master(RawZone.from_csv(spark, f"{base}/stage", f"{base}/zone"))
+
+
+# B4 -- the published table, read back
+def publish_rpt_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "published")
+    view = views.rpt_sales_master(_zone(spark, sf_dir))
+    publish(view, path)
+    return spark.read.schema(view.schema).parquet(path).select(*view.columns)
 
 
 # T1 -- incremental load: two daily drops, one run after each
@@ -207,3 +252,9 @@ FROM RAW_DIMDATE ORDER BY 1, 2, 3 LIMIT 10"""))
 _register("incremental_file_load", incremental_file_load,
           oracle.with_prelude("SELECT * FROM RAW_FACTSALES"))
 
+_register("csv_quoted_newline", csv_quoted_newline, oracle.with_prelude(
+    "SELECT * REPLACE (ProductName || chr(10) || 'second line, \"quoted\"' AS ProductName) FROM RAW_DIMPRODUCT"))
+_register("csv_strict_projection", csv_strict_projection, oracle.with_prelude(
+    "SELECT SalesKey, channelKey FROM RAW_FACTSALES WHERE coalesce(channelKey, 0) NOT IN (2, 3)"))
+_register("rpt_sales_master_from_csv", rpt_sales_master_from_csv, oracle.with_prelude("SELECT * FROM VIEW_RPT_SALES_MASTER"))
+_register("publish_rpt_sales", publish_rpt_sales, oracle.with_prelude("SELECT * FROM VIEW_RPT_SALES_MASTER"))

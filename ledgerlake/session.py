@@ -7,7 +7,7 @@ cluster names in ``spark.checkpoint.dir``; we only set one when it is unset
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -30,8 +30,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    # Strict CSV loads must see every field to detect a column-count mismatch.
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 
@@ -62,7 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in tests / local runs: a cluster always names one.
+        # A machine-local folder is shared only if there is one machine.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -81,12 +81,3 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
-
-
-def is_local_fs(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def makedirs(path: str) -> None:
-    if is_local_fs(path):
-        os.makedirs(local_path(path), exist_ok=True)

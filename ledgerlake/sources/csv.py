@@ -9,11 +9,16 @@ the NULL tokens, converts each column to its declared type with ``try_cast`` /
 * a text exceeds its declared VARCHAR length, or
 * (strict presets only) the row has too few or too many fields.
 
+* (formats that read line by line) a quote is left open: the row is a torn
+  piece of one whose quoted text holds a line break.  Formats with
+  ``multi_line`` read such rows whole; their files aren't split over tasks, so
+  it is meant for dimensions with free text, not for fact extracts.
+
 ``on_error="continue"`` keeps the good rows and returns the bad ones as a
 quarantine frame; ``"abort"`` fails the job on the first bad row.  The bad-row
-predicate reads the corrupt-record column; for strict formats CSV parser
-column pruning is switched off, because a parser that tokenizes only the
-projected fields does not see a field-count mismatch.
+predicate reads the corrupt-record column, so every reader switches column pruning
+of the CSV parser off for itself (a parser that tokenizes only the projected
+fields does not see a field-count mismatch); session settings don't matter.
 """
 
 from __future__ import annotations
@@ -40,6 +45,7 @@ class CsvFormat:
     ragged: bool = False                     # tolerate column-count mismatch
     date_formats: dict[str, str] = field(default_factory=dict)
     encoding: str = "UTF-8"
+    multi_line: bool = False                 # quoted text may hold line breaks
 
     def with_dates(self, **fmts: str) -> "CsvFormat":
         return replace(self, date_formats={**self.date_formats, **fmts})
@@ -68,23 +74,22 @@ def _text_schema(schema: T.StructType) -> T.StructType:
 def read_text(spark: SparkSession, path: str | list[str], schema: T.StructType,
               fmt: CsvFormat = NAMED_FORMAT, pattern: str | None = None,
               glob: str | None = None, streaming: bool = False,
-              max_files_per_trigger: int | None = None) -> DataFrame:
+              max_bytes_per_trigger: int | None = None) -> DataFrame:
     """All-text frame of the declared columns, the corrupt-record column and
     the source file.  ``pattern`` is a regular expression that must match the
     whole file path (the reference's ``PATTERN``); ``glob`` optionally prunes
     the listing by file name first."""
-    if not fmt.ragged:
-        # A pruned parse would silently accept short / long rows.
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = spark.readStream if streaming else spark.read
     reader = (reader.schema(_text_schema(schema))
               .option("header", fmt.header).option("sep", fmt.sep)
               .option("quote", fmt.quote).option("escape", fmt.escape)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("encoding", fmt.encoding)
+              .option("encoding", fmt.encoding).option("multiLine", fmt.multi_line)
+              # a pruned parse would silently accept short and long rows
+              .option("columnPruning", False)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if streaming and max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if pattern or glob:
@@ -119,6 +124,12 @@ def reject_reason(schema: T.StructType, fmt: CsvFormat) -> Column:
         max_len = f.metadata.get("max_length")
         if max_len:
             reasons.append(F.when(F.length(t) > max_len, F.lit(f"{f.name}: longer than {max_len}")))
+    if not fmt.multi_line:
+        odd = lambda c: F.regexp_count(c, F.lit(f"\\Q{fmt.quote}\\E")) % 2 == 1
+        torn = F.coalesce(odd(F.col(CORRUPT)), F.lit(False))
+        for f in schema.fields:
+            torn = torn | F.coalesce(F.col(f.name).startswith(fmt.quote) & odd(F.col(f.name)), F.lit(False))
+        reasons.append(F.when(torn, F.lit("quote left open")))
     if not fmt.ragged:
         reasons.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("column count mismatch")))
     return F.coalesce(*reasons, F.lit(None).cast("string"))
@@ -157,14 +168,15 @@ def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
 
 def raw_preview(spark: SparkSession, path: str, aliases: list[str],
-                fmt: CsvFormat = NAMED_FORMAT, n: int = 10) -> DataFrame:
-    """``SELECT $1 AS a, $2 AS b, ... FROM @stage/file LIMIT n``: positional
-    text fields of a staged file, header skipped, no schema applied.  Rows are
-    taken in order of the first field so the preview is reproducible."""
+                fmt: CsvFormat = NAMED_FORMAT, n: int = 10, ordered: bool = False) -> DataFrame:
+    """The first fields of a staged file by position, as text, header skipped, no schema applied.
+
+    Any ``n`` rows, so the read stops early; ``ordered`` takes the first by all
+    shown fields instead, which reads the whole file but gives the same rows each time."""
     df = (spark.read.option("header", fmt.header).option("sep", fmt.sep)
           .option("quote", fmt.quote).option("escape", fmt.escape)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .csv(path))
     first = df.columns[:len(aliases)]
     out = df.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(first, aliases)])
-    return out.orderBy(*[F.col(a).asc_nulls_last() for a in aliases]).limit(n)
+    return (out.orderBy(*[F.col(a).asc_nulls_last() for a in aliases]) if ordered else out).limit(n)

@@ -1,17 +1,20 @@
 """The raw zone: the 13 typed raw tables as DataFrames, plus what is known
 about their sizes.
 
-A dimension is broadcast by an explicit hint only when its row count has a
-proven bound: either by construction (a stand-in derived from a fixed-size
-table, or one row per calendar day), or because the loader counted it when the
-zone was written.  Every other dimension is left to the planner, which
-broadcasts below ``spark.sql.autoBroadcastJoinThreshold`` (re-checked by AQE at
-runtime) and joins by shuffle above it.
+A dimension is broadcast by an explicit hint only when its size was counted:
+rows, and the most rows that share a key.  A dimension with its outriggers
+joined on is hinted only if its rows times the outriggers' most rows a key stay
+under the limit, since repeated outrigger keys multiply it.  Counts come from
+the loader's manifest, or from the stand-in itself on first use.  Every other
+dimension is left to the planner, which broadcasts below
+``spark.sql.autoBroadcastJoinThreshold`` (re-checked by AQE at runtime) and
+joins by shuffle above it.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable, Union
 
@@ -19,43 +22,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.session import is_local_fs, local_path, makedirs
 from ledgerlake.sources import standins
+from ledgerlake.sources.csv import CUSTOMER_FORMAT, FACT_BULK_FORMAT, NAMED_FORMAT, CsvFormat, load_csv
 
-# A dimension with at most this many rows may be hinted for broadcast.  With
-# the handful of pruned columns a view needs (~50 bytes/row) this keeps the
-# broadcast hash relation well under 100 MB per executor.
+# A dimension with at most this many rows, and as many bytes at ROW_BYTES a row,
+# may be hinted for broadcast: the pruned columns of a view (short texts and
+# keys) stay well under 100 MB per executor.
 BROADCAST_MAX_ROWS = 500_000
 
-# Stand-in dimensions whose size is bounded by construction (see standins).
-STANDIN_BOUNDS = {
-    "RAW_DIMPRODUCTSUBCATEGORY": 10_000,   # distinct part sizes
-    "RAW_DIMPRODUCTCATEGORY": 1_000,       # regions + 1
-    "RAW_DIMGEOGRAPHY": 10_000,            # nations
-    "RAW_DIMEMPLOYEE": 35,                 # supplier keys 0..34
-    "RAW_DIMDATE": 400_000,                # one row per calendar day (~1,000 years)
-    "RAW_DIMCHANNEL": 1_000,               # regions
-    "RAW_DIMCURRENCY": 1_000,              # regions
-    "RAW_DIMPROMOTION": 10_000,            # nations
-}
-
 MANIFEST = "_ledgerlake_manifest.json"
 FACTS = ("RAW_FACTSALES", "RAW_FACT_ONLINESALES")
 
-Bound = Union[int, Callable[[], int]]
-
-
-def _standin_row_bounds(spark: SparkSession, sf_dir: str) -> dict[str, Bound]:
-    """Bounds for the stand-ins: fixed ones by construction, and for the three
-    dimensions that grow with the data, the row count of their source table
-    (answered from Parquet footers, no data scan), evaluated on first use."""
-    def source_rows(name: str, factor: int = 1) -> Callable[[], int]:
-        return lambda: factor * spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").count()
-    bounds: dict[str, Bound] = dict(STANDIN_BOUNDS)
-    bounds["RAW_DIMSTORE"] = source_rows("supplier")        # one store per supplier
-    bounds["RAW_DIMCUSTOMER"] = source_rows("customer")     # one per customer
-    bounds["RAW_DIMPRODUCT"] = source_rows("part", 2)       # part rows, some twice
-    return bounds
+Size = tuple[int, int]                       # rows, most rows of one key
+Bound = Union[Size, Callable[[], Size]]
+
+
+def measure(df: DataFrame, key: str) -> Size:
+    """Rows of a table and the most rows that share a key (NULL is one)."""
+    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    return int(r["rows"] or 0), int(r["most"] or 0)
+
+
+# The load matrix of the CSV extracts: file name or whole-path pattern, format, on_error.
+_FREE_TEXT = CsvFormat(multi_line=True)
+LOADS: dict[str, tuple[str, CsvFormat, str]] = {
+    "RAW_DIMPRODUCT": ("DimProduct.csv", _FREE_TEXT, "continue"),
+    "RAW_DIMCUSTOMER": ("DimCustomer.csv", CUSTOMER_FORMAT, "continue"),
+    "RAW_FACTSALES": (".*FactSales_.*.csv", FACT_BULK_FORMAT, "continue"),
+    "RAW_FACT_ONLINESALES": (".*FactOnlineSales_.*.csv", FACT_BULK_FORMAT, "continue"),
+    "RAW_DIMSTORE": ("DimStore.csv", _FREE_TEXT, "abort"),
+    "RAW_DIMGEOGRAPHY": ("DimGeography.csv", NAMED_FORMAT, "abort"),
+    "RAW_DIMPRODUCTCATEGORY": ("DimProductCategory.csv", NAMED_FORMAT, "abort"),
+    "RAW_DIMPRODUCTSUBCATEGORY": ("DimProductSubcategory.csv", NAMED_FORMAT, "abort"),
+    "RAW_DIMCHANNEL": ("DimChannel.csv", NAMED_FORMAT, "abort"),
+    "RAW_DIMCURRENCY": ("DimCurrency.csv", NAMED_FORMAT, "abort"),
+    "RAW_DIMEMPLOYEE": ("DimEmployee.csv", NAMED_FORMAT, "abort"),
+    "RAW_DIMPROMOTION": ("DimPromotion.csv", NAMED_FORMAT, "abort"),
+    "RAW_DIMDATE": ("DimDate.csv", NAMED_FORMAT, "abort"),
+}
+CURRENT = "_current"
 
 
 @dataclass
@@ -66,30 +71,63 @@ class RawZone:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
-    def row_bound(self, name: str) -> int | None:
+    def size(self, name: str) -> Size | None:
         b = self.row_bounds.get(name)
         if callable(b):
-            b = self.row_bounds[name] = int(b())
+            b = self.row_bounds[name] = b()
         return b
 
-    def bounded(self, name: str) -> bool:
-        b = self.row_bound(name)
-        return b is not None and b <= BROADCAST_MAX_ROWS
+    def bounded(self, name: str, *outriggers: str) -> bool:
+        """Whether the table, joined to outriggers by their keys, is known to be small."""
+        size = self.size(name)
+        if size is None or size[0] > BROADCAST_MAX_ROWS:
+            return False
+        rows = size[0]
+        for o in outriggers:
+            more = self.size(o)
+            if more is None:
+                return False
+            rows *= max(1, more[1])
+        return rows <= BROADCAST_MAX_ROWS
 
     def dim(self, name: str) -> DataFrame:
-        """The table, hinted for broadcast iff its size bound is proven."""
+        """The table, hinted for broadcast iff its size is known to be small."""
         df = self.tables[name]
         return F.broadcast(df) if self.bounded(name) else df
 
-    def hint(self, df: DataFrame, *names: str) -> DataFrame:
-        """Hint a frame derived from dimensions ``names`` (e.g. an enriched
-        dimension) iff all of them are bounded."""
-        return F.broadcast(df) if all(self.bounded(n) for n in names) else df
+    def hint(self, df: DataFrame, name: str, *outriggers: str) -> DataFrame:
+        """Hint a frame of dimension ``name`` with outriggers joined on, iff that is known to be small."""
+        return F.broadcast(df) if self.bounded(name, *outriggers) else df
 
     # -- construction -----------------------------------------------------
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "RawZone":
-        return cls(standins.build_spark(spark, sf_dir), _standin_row_bounds(spark, sf_dir))
+        tables = standins.build_spark(spark, sf_dir)
+        sizes = {n: (lambda n=n: measure(tables[n], schemas.TABLE_KEYS[n])) for n in tables if n not in FACTS}
+        return cls(tables, sizes)
+
+    @classmethod
+    def from_csv(cls, spark: SparkSession, stage: str, target: str) -> "RawZone":
+        """Load the 13 extracts of a folder by ``LOADS`` and open the result.
+
+        All tables go to a new version folder under ``target``; only when every
+        load has ended well is that folder made the current one.  A load that
+        aborts leaves the zone as it was, readable by :meth:`current`.
+        """
+        tables = {}
+        for name, (where, fmt, on_error) in LOADS.items():
+            pattern = where.startswith(".*")
+            tables[name] = load_csv(spark, stage if pattern else f"{stage}/{where}", schemas.RAW_TABLES[name], fmt,
+                                    on_error=on_error, pattern=where if pattern else None).good
+        version = f"{target.rstrip('/')}/version={uuid.uuid4().hex}"
+        cls(tables).write(version)
+        spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(f"{target.rstrip('/')}/{CURRENT}")
+        return cls.from_parquet(spark, version)
+
+    @classmethod
+    def current(cls, spark: SparkSession, target: str) -> "RawZone":
+        """The zone that :meth:`from_csv` last completed under ``target``."""
+        return cls.from_parquet(spark, spark.read.text(f"{target.rstrip('/')}/{CURRENT}").first()[0])
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, path: str) -> "RawZone":
@@ -97,21 +135,12 @@ class RawZone:
         base = path.rstrip("/")
         tables = {n: spark.read.schema(s).parquet(f"{base}/{n}")
                   for n, s in schemas.RAW_TABLES.items()}
-        bounds: dict[str, int] = {}
-        if is_local_fs(base):
-            try:
-                with open(f"{local_path(base)}/{MANIFEST}") as fh:
-                    bounds = {k: int(v) for k, v in json.load(fh)["row_counts"].items()}
-            except FileNotFoundError:
-                bounds = {}
-        else:
-            rows = spark.read.json(f"{base}/{MANIFEST}").collect()
-            bounds = {k: int(v) for k, v in rows[0]["row_counts"].asDict().items()} if rows else {}
-        return cls(tables, bounds)
+        manifest = json.loads(spark.read.text(f"{base}/{MANIFEST}").first()[0])  # a zone without one is incomplete
+        return cls(tables, {k: (int(r), int(m)) for k, (r, m) in manifest["sizes"].items()})
 
     def write(self, path: str, facts_partitions: int | None = None) -> dict[str, int]:
-        """Full-refresh write of every raw table as Parquet (B1), then record
-        row counts (read back from Parquet footers, no extra scan)."""
+        """Full-refresh write of every raw table as Parquet (B1), then a manifest
+        of the rows of all tables and the most rows a key of the dimensions."""
         spark = next(iter(self.tables.values())).sparkSession
         base = path.rstrip("/")
         for name, df in self.tables.items():
@@ -120,19 +149,14 @@ class RawZone:
                 out = df.repartition(facts_partitions)
             out.write.mode("overwrite").parquet(f"{base}/{name}")
         counts = {n: spark.read.parquet(f"{base}/{n}").count() for n in self.tables}
-        payload = json.dumps({"row_counts": counts})
-        if is_local_fs(base):
-            makedirs(base)
-            with open(f"{local_path(base)}/{MANIFEST}", "w") as fh:
-                fh.write(payload)
-        else:
-            spark.createDataFrame([(payload,)], "j string").coalesce(1) \
-                .write.mode("overwrite").text(f"{base}/{MANIFEST}")
+        sizes = {n: measure(spark.read.parquet(f"{base}/{n}"), schemas.TABLE_KEYS[n]) for n in self.tables if n not in FACTS}
+        spark.createDataFrame([(json.dumps({"row_counts": counts, "sizes": sizes}),)], "j string").coalesce(1) \
+            .write.mode("overwrite").text(f"{base}/{MANIFEST}")
         return counts
 
     # -- catalog tables, facts bucketed by their key ------------------------
     def write_tables(self, database: str, location: str, buckets: int,
-                     files_per_bucket: int = 1) -> dict[str, int]:
+                     files_per_bucket: int = 1) -> dict[str, Size]:
         """Full-refresh the raw zone as catalog tables under ``location``.
 
         Facts are bucketed (and sorted) by their key into ``buckets`` files:
@@ -157,10 +181,10 @@ class RawZone:
             else:
                 writer = w.write.mode("overwrite").format("parquet")
             writer.option("path", f"{base}/{name}").saveAsTable(f"{database}.{name}")
-        return {n: spark.table(f"{database}.{n}").count() for n in self.tables}
+        return {n: measure(spark.table(f"{database}.{n}"), TABLE_KEYS[n]) for n in self.tables if n not in FACTS}
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str,
-                     row_counts: dict[str, int] | None = None) -> "RawZone":
+                     sizes: dict[str, Size] | None = None) -> "RawZone":
         tables = {n: spark.table(f"{database}.{n}") for n in schemas.RAW_TABLES}
-        return cls(tables, dict(row_counts or {}))
+        return cls(tables, dict(sizes or {}))

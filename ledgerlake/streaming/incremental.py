@@ -7,9 +7,10 @@ appended to a Parquet table and rejected rows to a quarantine table.
 ``trigger(availableNow=True)`` drains whatever has landed and stops, so an
 external scheduler (the reference's cron) simply re-runs it.
 
-Fault tolerance: a batch writes ``<table>/batch=<id>`` with overwrite, so a
-batch replayed after a lost executor or driver (same id, same files, per the
-checkpoint's offset log) replaces its own output instead of duplicating it.
+Fault tolerance: a batch writes ``<table>/load=<id>/batch=<n>`` with overwrite,
+where the id is that of the checkpoint's query: a batch replayed after a lost
+executor or driver replaces its own output, and a new checkpoint on the same
+table adds to what earlier ones loaded.
 The file source remembers *paths*: a file overwritten under the same name is
 not read again, so landed files need unique (e.g. date-stamped) names.
 """
@@ -25,23 +26,22 @@ from ledgerlake.sources.csv import FACT_BULK_FORMAT, CsvFormat, apply_schema, re
 def run_incremental_load(spark: SparkSession, landing: str, schema: T.StructType,
                          target: str, checkpoint: str, fmt: CsvFormat = FACT_BULK_FORMAT,
                          pattern: str | None = None, quarantine: str | None = None,
-                         max_files_per_trigger: int = 1000) -> None:
+                         glob: str | None = None, max_bytes_per_trigger: int = 64 << 30) -> None:
     """Drain newly landed files into ``target`` (rejects into ``quarantine``).
 
-    ``max_files_per_trigger`` bounds a micro-batch, so a large backlog is
-    drained in several batches of bounded size rather than one."""
-    raw = read_text(spark, landing, schema, fmt, pattern=pattern, streaming=True,
-                    max_files_per_trigger=max_files_per_trigger)
+    ``max_bytes_per_trigger`` bounds a micro-batch, so a large backlog is
+    drained in several batches rather than one; ``glob`` keeps foreign files of the
+    landing folder out of the listing."""
+    raw = read_text(spark, landing, schema, fmt, pattern=pattern, glob=glob, streaming=True,
+                    max_bytes_per_trigger=max_bytes_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            result = apply_schema(batch, schema, fmt, on_error="continue")
-            result.good.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-            if quarantine:
-                result.rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        load = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        # parsed twice rather than held: a micro-batch may be larger than memory
+        result = apply_schema(batch, schema, fmt, on_error="continue")
+        result.good.write.mode("overwrite").parquet(f"{target}/load={load}/batch={batch_id}")
+        if quarantine:
+            result.rejected.write.mode("overwrite").parquet(f"{quarantine}/load={load}/batch={batch_id}")
 
     (raw.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)

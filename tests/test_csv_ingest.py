@@ -112,7 +112,7 @@ def test_decimal_rounding_overflow_and_varchar(spark, tmp_stage):
 
 def test_raw_preview_positional(spark, tmp_stage):
     path = _write(tmp_stage, "p.csv", "a,b,c\n3,x,1\n1,y,2\n2,z,3\n")
-    rows = ingest.raw_preview(spark, path, ["First", "Second"], n=2).collect()
+    rows = ingest.raw_preview(spark, path, ["First", "Second"], n=2, ordered=True).collect()
     assert [tuple(r) for r in rows] == [("1", "y"), ("2", "z")]
 
 
@@ -127,3 +127,46 @@ def test_scheduled_preset_is_stricter_than_bulk(spark, tmp_stage):
     got_bulk = ingest.load_csv(spark, path, SCHEMA, bulk).good.collect()
     assert [r["k"] for r in got_strict] == [3] and got_strict[0]["n"] is None
     assert sorted(r["k"] for r in got_bulk) == [1, 2, 3]
+
+
+def test_strict_rows_do_not_depend_on_the_session(spark, tmp_stage):
+    import pyspark.sql.types as T
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    os.makedirs(local_path(tmp_stage), exist_ok=True)
+    with open(f"{local_path(tmp_stage)}/f.csv", "w") as fh:
+        fh.write("k,a,b\n1,x,1\n2,x\n3,x,1,9\n")
+    good = ingest.load_csv(spark, f"{tmp_stage}/f.csv", schema).good
+    for flag in ("true", "false"):
+        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", flag)
+        try:
+            assert [r["k"] for r in good.select("k").collect()] == [1] and good.count() == 1
+        finally:
+            spark.conf.unset("spark.sql.csv.parser.columnPruning.enabled")
+
+
+def test_torn_rows_are_rejected_or_read_whole(spark, tmp_stage):
+    import pyspark.sql.types as T
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    os.makedirs(local_path(tmp_stage), exist_ok=True)
+    with open(f"{local_path(tmp_stage)}/f.csv", "w") as fh:
+        fh.write('k,a,b\n1,"line one\nline two",1\n2,plain,2\n3,"""said"" he",3\n')
+    for ragged in (True, False):
+        lines = ingest.load_csv(spark, f"{tmp_stage}/f.csv", schema, ingest.CsvFormat(ragged=ragged))
+        assert {r["k"] for r in lines.good.collect()} == {2, 3}
+        whole = ingest.load_csv(spark, f"{tmp_stage}/f.csv", schema, ingest.CsvFormat(ragged=ragged, multi_line=True))
+        assert [tuple(r) for r in whole.good.orderBy("k").collect()] == [(1, "line one\nline two", 1), (2, "plain", 2), (3, '"said" he', 3)]
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    from ledgerlake.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

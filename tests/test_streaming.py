@@ -34,3 +34,14 @@ def test_incremental_runs(spark, tmp_stage):
     loaded = read_loaded(spark, target, schemas.RAW_FACTSALES)
     assert sorted(r["SalesKey"] for r in loaded.collect()) == [1, 2, 4]
     assert spark.read.parquet(rej).count() == 1
+
+
+def test_new_checkpoint_adds_to_the_table(spark, tmp_stage):
+    landing, target = f"{tmp_stage}/landing", f"{tmp_stage}/t"
+    kw = dict(fmt=ingest.FACT_BULK_FORMAT, pattern=".*FactSales_.*.csv", glob="*FactSales_*")
+    _drop(landing, "FactSales_1.csv", [_row(1), _row(2)])
+    run_incremental_load(spark, landing, schemas.RAW_FACTSALES, target, f"{tmp_stage}/c1", **kw)
+    os.remove(f"{local_path(landing)}/FactSales_1.csv")
+    _drop(landing, "FactSales_2.csv", [_row(3)])
+    run_incremental_load(spark, landing, schemas.RAW_FACTSALES, target, f"{tmp_stage}/c2", **kw)
+    assert sorted(r["SalesKey"] for r in read_loaded(spark, target, schemas.RAW_FACTSALES).collect()) == [1, 2, 3]
