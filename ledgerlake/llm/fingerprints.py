@@ -190,7 +190,7 @@ def fingerprints(spark: SparkSession, documents: DataFrame) -> DataFrame:
     ids = rows.select("doc_id")
     cuts = ids.agg(F.percentile_approx("doc_id", [k / blocks for k in range(1, blocks)], 20 * blocks)).first()[0] or []
     cuts = sorted(set(cuts))  # fewer than blocks, whatever the input
-    # the number of cuts below doc_id, found by halving
+    # the number of cuts below doc_id
     block = F.lit(0)
     if cuts:
         block = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id"))))
