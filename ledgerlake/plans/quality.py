@@ -54,10 +54,10 @@ def ordered_sample(z: RawZone, table: str, n: int) -> DataFrame:
     return df.orderBy(*full_order(df, schemas.TABLE_KEYS[table])).limit(n)
 
 
-def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """``SELECT * ... LIMIT n``: the reference takes arbitrary rows; we take the
-    first n by key so the sample is reproducible."""
-    return df.orderBy(*full_order(df, key)).limit(n)
+def sample_rows(df: DataFrame, key: str, n: int, ordered: bool = True) -> DataFrame:
+    """``n`` rows: the first by key, so the sample is the same each time, or, with
+    ``ordered=False``, any rows, which stops early instead of ranking the whole table."""
+    return (df.orderBy(*full_order(df, key)) if ordered else df).limit(n)
 
 
 # --- Q2-Q5, Q7: product and customer profiles ---------------------------------
@@ -392,11 +392,35 @@ def rpt_sales_rowcount(z: RawZone) -> DataFrame:
                           "Raw Fact Table", "Final Reporting View")
 
 
+def _unclean_sales():
+    return ((F.col("StoreName") == "") | (F.col("StoreName") == "N/A")
+            | (F.col("StoreStatus") == "N/A") | (F.col("StoreStatus") == "Unknown"))
+
+
+def _unclean_online():
+    return F.col("Gender").isin(text.REPORT_GENDER_NULLS) | (F.col("CustomerName") == "")
+
+
+def _report_suite(view: DataFrame, unclean) -> DataFrame:
+    """All checks of a reporting view in one pass over it: rows are reduced to
+    one a key, and those to one row of counts."""
+    per_key = view.groupBy("SalesKey").agg(F.count(F.lit(1)).alias("n"), F.count_if(unclean).alias("bad"),
+                                           F.count_if(F.col("TotalRevenue").isNull()).alias("lost"))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(name)
+    return per_key.agg(total("n", "Row_Count"), total("bad", "Failed_Cleaning_Rows"), total("lost", "Missing_Revenue_Rows"),
+                       F.count_if(F.col("n") > 1).alias("Fanout_Keys"))
+
+
+def rpt_sales_suite(z: RawZone) -> DataFrame:
+    return _report_suite(views.rpt_sales_master(z), _unclean_sales())
+
+
+def rpt_online_suite(z: RawZone) -> DataFrame:
+    return _report_suite(views.rpt_online_master(z), _unclean_online())
+
+
 def rpt_sales_failed_cleaning(z: RawZone) -> DataFrame:
-    v = views.rpt_sales_master(z)
-    bad = ((F.col("StoreName") == "") | (F.col("StoreName") == "N/A")
-           | (F.col("StoreStatus") == "N/A") | (F.col("StoreStatus") == "Unknown"))
-    return count_of(v.where(bad), "Failed_Cleaning_Rows")
+    return count_of(views.rpt_sales_master(z).where(_unclean_sales()), "Failed_Cleaning_Rows")
 
 
 def rpt_sales_missing_revenue(z: RawZone) -> DataFrame:
@@ -418,9 +442,7 @@ def rpt_online_rowcount(z: RawZone) -> DataFrame:
 
 
 def rpt_online_failed_cleaning(z: RawZone) -> DataFrame:
-    v = views.rpt_online_master(z)
-    bad = F.col("Gender").isin(text.REPORT_GENDER_NULLS) | (F.col("CustomerName") == "")
-    return count_of(v.where(bad), "Failed_Cleaning_Rows")
+    return count_of(views.rpt_online_master(z).where(_unclean_online()), "Failed_Cleaning_Rows")
 
 
 def rpt_online_missing_revenue(z: RawZone) -> DataFrame:

@@ -300,6 +300,12 @@ for _short, _raw, _raw_label, _view, _view_label, _failed in [
         f"SELECT DISTINCT SalesKey, row_count FROM (SELECT SalesKey, count(*) OVER (PARTITION BY SalesKey) AS row_count FROM {_view}) "
         "WHERE row_count > 1"))
 
+    _again = "(row_number() OVER (PARTITION BY SalesKey)) = 2"
+    register(f"rpt_{_short}_suite", getattr(q, f"rpt_{_short}_suite"), oracle.with_prelude(
+        f"SELECT count(*) AS Row_Count, count_if(coalesce({_failed}, FALSE))::BIGINT AS Failed_Cleaning_Rows, "
+        "count_if(TotalRevenue IS NULL)::BIGINT AS Missing_Revenue_Rows, count_if(second)::BIGINT AS Fanout_Keys "
+        f"FROM (SELECT *, {_again} AS second FROM {_view})"))
+
 # --- B4 exports -----------------------------------------------------------------------------------------
 register("export_rpt_sales", q.export_rpt_sales,
          oracle.with_prelude("SELECT * FROM VIEW_RPT_SALES_MASTER"))
