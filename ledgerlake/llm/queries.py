@@ -74,6 +74,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_near_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.near_classes(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_url_rules": op2_url_rules,
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
+    "op10_near_classes": op10_near_classes,
 }
 ORACLE: dict[str, str] = {
     "op2_url_rules": """

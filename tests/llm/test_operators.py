@@ -320,6 +320,76 @@ def test_walks_meet_again_after_an_edit(spark):
     assert {(r["a"], r["b"]) for r in fingerprints.similar(df, 0.5).collect()} == {(1, 2)}
 
 
+def near_by_hand(texts, least):
+    """Fingerprints, and near pairs of class representatives."""
+    prints = [fingerprints.sampled(c, fingerprints.walk(c)) for c in map(fingerprints.codes, texts)]
+    own = {}
+    for i, p in enumerate(prints):
+        own.setdefault(fingerprints.written(p), i)
+    own = sorted(own.values())
+    return prints, {(i, j) for j in own for i in own if i < j and fingerprints.likeness(prints[i], prints[j]) >= least}
+
+
+def some_texts(rng, lengths):
+    """Texts with one to three near copies each; smaller ids belong to unrelated ones."""
+    words = ["".join(rng.choice(list("abcdefghiklmnoprstu"), int(rng.integers(2, 9)))) for _ in range(2000)]
+    texts, copies = [], []
+    for n in lengths:
+        text = ""
+        while len(text) < n:
+            text += rng.choice(words) + " "
+        texts.append(text[:n])
+        for _ in range(rng.integers(1, 4)):
+            copy = text[:n]
+            for at in rng.integers(n // 2, n, 1 + n // 200).tolist():
+                copy = copy[:at] + "X" + copy[at + 1:]
+            copies.append(copy)
+    return texts + copies
+
+
+def test_similar_finds_pairs_that_no_smallest_member_is_in(spark):
+    rng = np.random.default_rng(4)
+    texts = some_texts(rng, [1500] * 150)
+    prints, want = near_by_hand(texts, 0.9)
+    assert len(want) > 100
+    df = spark.createDataFrame([(i, fingerprints.written(p)) for i, p in enumerate(prints)], "doc_id long, fingerprint string")
+    got = {(r["a"], r["b"]): r["likeness"] for r in fingerprints.similar(df).collect()}
+    assert set(got) <= want and len(got) >= 0.97 * len(want)
+    assert all(v == fingerprints.likeness(prints[i], prints[j]) for (i, j), v in got.items())
+    # a band has about 40 different bits
+    assert np.mean([len(set(row)) for row in fingerprints._places(fingerprints._class(3000), fingerprints._draws(0.9)).tolist()]) >= 40
+
+
+def test_near_classes(spark, documents, rows, odd, nothing, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BLOCK", 7)
+    rng = np.random.default_rng(8)
+    texts = some_texts(rng, [40, 200, 900] * 20)
+    base = texts[2]
+    for k in range(40):  # a chain of edits: the ends are not near, one key holds many
+        base = base[:20 * k + 90] + "Z" + base[20 * k + 91:]
+        texts.append(base)
+    prints, pairs = near_by_hand(texts, 0.9)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["near_id"] for r in fingerprints.near_classes(spark, df).collect()}
+    found = fingerprints.similar(spark.createDataFrame([(i, fingerprints.written(p)) for i, p in enumerate(prints)], "doc_id long, fingerprint string"))
+    first = {}
+    ties = [(first.setdefault(fingerprints.written(p), i), i) for i, p in enumerate(prints)]
+    want = joined([*pairs, *ties], range(len(texts)))
+    assert sum(got[i] == want[i] for i in want) >= 0.97 * len(want)
+    assert {(r["a"], r["b"]) for r in found.collect()} <= pairs
+    out = fingerprints.near_classes(spark, odd).collect()
+    assert len(out) == 8 and {(r["doc_id"], r["near_id"]) for r in out} == {(None, None), (5, 5), (9, 5), (2, 2)}
+    assert fingerprints.near_classes(spark, nothing).count() == 0
+    assert fingerprints.near_classes(spark, documents).count() == len(rows)
+
+
+def test_likenesses_are_those_of_pairs(rows):
+    prints, _ = near_by_hand([r[1] or "" for r in rows], 0.9)
+    prints = list({fingerprints.written(p): p for p in prints}.values())
+    got = fingerprints.likenesses(prints, prints)
+    assert all(got[i, j] == fingerprints.likeness(a, b) for i, a in enumerate(prints) for j, b in enumerate(prints) if i != j)
+
+
 def test_windows_match_their_words():
     words = np.arange(100, dtype=np.uint64) % np.uint64(40)
     for k in (3, 20):
