@@ -360,6 +360,17 @@ def test_similar_finds_pairs_that_no_smallest_member_is_in(spark):
     assert np.mean([len(set(row)) for row in fingerprints._places(fingerprints._class(3000), fingerprints._draws(0.9)).tolist()]) >= 40
 
 
+def test_similar_finds_short_texts_and_partial_octaves(spark):
+    rng = np.random.default_rng(6)
+    texts = some_texts(rng, [20, 30, 45, 60, 80, 100, 120, 190, 250, 380] * 12)
+    prints, want = near_by_hand(texts, 0.9)
+    short = {(i, j) for i, j in want if len(texts[i]) < 126}
+    assert len(short) > 20 and len(want) > len(short)
+    df = spark.createDataFrame([(i, fingerprints.written(p)) for i, p in enumerate(prints)], "doc_id long, fingerprint string")
+    got = {(r["a"], r["b"]) for r in fingerprints.similar(df).collect()}
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
 def test_near_classes(spark, documents, rows, odd, nothing, monkeypatch):
     monkeypatch.setattr(fingerprints, "BLOCK", 7)
     rng = np.random.default_rng(8)
