@@ -6,8 +6,9 @@ gives every document a posterior over the domains.  Words that mark toxic text a
 learned from a bounded sample of labelled rows (``SAMPLE`` of each label).  Document rates r >= 0
 are then fitted so that the expected tokens of each domain,
 sum of r x tokens x posterior, meet its target: projected-gradient least
-squares from r = 1, residuals weighed by the domains' inverse Gram matrix.  A step is one
-distributed sum of three numbers; between steps only those go to the driver.  Documents
+squares from r = 1, residuals weighed by the inverse Gram matrix of the domains over the rows
+with a positive rate, steps halved until they descend; the rates are the nearest to 1 that meet
+the targets.  A step is one distributed sum of a dozen numbers; between steps only those go to the driver.  Documents
 of one code of binned statistics have one posterior and one rate, so the sums run over
 codes, of which there are at most BINS ** 4 whatever the input, and a broadcast of that
 bounded table brings the rates to the documents: no text is shuffled.
@@ -17,6 +18,7 @@ DataFrame functions only.
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,13 +112,14 @@ def _posterior(counts: list) -> Column:
 
 
 def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
-        *keep: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Documents with their code, tokens and the columns in keep; the posterior and rate of each code; the marker words.
+        *keep: str) -> tuple[DataFrame, DataFrame, list[str], dict[str, float]]:
+    """Documents with their code, tokens and the columns in keep; the posterior and rate of each code; the marker words; what is missed.
 
     Learn posteriors from labels (doc_id, quality, toxic, ..) and rates for the documents (doc_id, text, ..).
 
-    The targets are shares of the expected tokens; they are scaled so that the first domain keeps all its tokens,
-    and no domain is asked for more than the documents hold.  Labels with a null doc_id or without a domain are ignored.
+    The targets are shares of the expected tokens; they are scaled so that the first domain keeps the total of its
+    tokens, and rates may exceed 1.  A target that no rates meet is missed by what is returned for its domain, as a share of its goal, and named in a warning; the rates
+    are then the nearest that were found.  Labels with a null doc_id or without a domain are ignored.
     Without labels the posterior is uniform; without tokens all rates are 1.
     """
     targets = targets or TARGETS
@@ -130,41 +133,48 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, targets: d
     # rows of one code have one posterior, and so one rate: at most BINS ** 4 codes whatever the input
     groups = scratch.table(measured.groupBy(f"{_PRE}code").agg(F.sum(f"{_PRE}tokens").alias("tokens"))
                            .repartition(1).withColumn(f"{_PRE}p", _posterior(counts)))
-    steps: list[list[float]] = []
+    size = len(DOMAINS)
+    p = [F.element_at(f"{_PRE}p", k + 1) for k in range(size)]
+    share = np.array([targets.get(d, 0.0) for d in DOMAINS])
+    held = np.array([float(x or 0.0) for x in groups.agg(*[F.sum(F.col("tokens") * x) for x in p]).first()])
+    scale = int(share.argmax()) if share[0] <= 0 else 0
+    goal = share / share[scale] * held[scale] if share[scale] > 0 else held
 
-    def rate() -> Column:
-        out = F.lit(1.0)
-        for step in steps:
-            out = F.greatest(F.lit(0.0), out - sum((F.element_at(f"{_PRE}p", k + 1) * g for k, g in enumerate(step)), F.lit(0.0)))
-        return out
+    def rate(moved: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), F.lit(1.0) - sum((x * float(g) for x, g in zip(p, moved, strict=True)), F.lit(0.0)))
 
     def rated() -> DataFrame:
-        return scratch.table(groups.select(f"{_PRE}code", f"{_PRE}p", rate().alias(f"{_PRE}rate")))
-
-    p = [F.element_at(f"{_PRE}p", k + 1) for k in range(len(DOMAINS))]
-
-    def sums(*columns: Column) -> np.ndarray:
-        return np.array([float(x or 0.0) for x in groups.agg(*[F.sum(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()])
-
-    def expected() -> np.ndarray:
-        return sums(*[F.col("tokens") * rate() * x for x in p])
-
-    held = expected()
-    if held[0] <= 0:
-        return measured, rated(), markers
-    share = np.array([targets.get(d, 0.0) for d in DOMAINS])
-    goal = np.minimum(held, share / share[0] * held[0]) if share[0] > 0 else share * held.sum()
-    # residuals are weighed by the inverse Gram matrix of the domains, kept as it is at the start: its
-    # curvature is then 1 at most, so that full steps descend whichever rows are held at 0
-    gram = sums(*[F.col("tokens") * x * y for x in p for y in p]).reshape(len(DOMAINS), -1)
-    weight = np.linalg.inv(gram + 1e-3 * np.trace(gram) / len(DOMAINS) * np.eye(len(DOMAINS)))
-    now = held
+        return scratch.table(groups.select(f"{_PRE}code", f"{_PRE}p", rate(moved).alias(f"{_PRE}rate")))
+
+    def answers(moved: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The expected tokens, their residuals as shares of the goals, and the Gram matrix of the rows with a positive rate."""
+        row = groups.select("tokens", *[x.alias(f"p{k}") for k, x in enumerate(p)], rate(moved).alias("r"))
+        sums = [F.sum(F.col("tokens") * F.col("r") * F.col(f"p{k}")) for k in range(size)]
+        sums += [F.sum(F.when(F.col("r") > 0, F.col("tokens") * F.col(f"p{k}") * F.col(f"p{j}"))) for k in range(size) for j in range(size)]
+        got = np.array([float(x or 0.0) for x in row.agg(*[c.alias(f"s{i}") for i, c in enumerate(sums)]).first()])
+        now = got[:size]
+        return now, (now - goal) / np.maximum(goal, TOLERANCE * max(now.sum(), 1.0)), got[size:].reshape(size, size)
+
+    moved = np.zeros(size)
+    if held.sum() <= 0 or share[scale] <= 0:
+        return measured, rated(), markers, dict.fromkeys(DOMAINS, 0.0)
+    now, miss, gram = answers(moved)
+    part = 1.0
     for _ in range(STEPS):
-        if (np.abs(now - goal) <= TOLERANCE * np.maximum(held, 1.0)).all():
+        if (np.abs(miss) <= TOLERANCE).all():
             break
-        steps.append([float(g) for g in weight @ (now - goal)])
-        now = expected()
-    return measured, rated(), markers
+        step = np.linalg.solve(gram + 1e-9 * max(np.trace(gram), 1.0) * np.eye(size), now - goal)
+        tried = moved + part * step
+        then = answers(tried)
+        # a step that takes the sums further from their goals is halved
+        if np.linalg.norm(then[1]) < np.linalg.norm(miss):
+            moved, part, (now, miss, gram) = tried, min(1.0, 2 * part), then
+        else:
+            part /= 2
+    missed = {d: float(x) for d, x in zip(DOMAINS, miss, strict=True)}
+    if (np.abs(miss) > 10 * TOLERANCE).any():
+        warnings.warn(f"mixing: targets not met, excess of each domain as a share of its goal: {missed}", stacklevel=2)
+    return measured, rated(), markers, missed
 
 
 def rates(spark: SparkSession, documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
@@ -173,7 +183,7 @@ def rates(spark: SparkSession, documents: DataFrame, labels: DataFrame, targets:
     One row for each input row; null and empty texts have no tokens and the posterior of an empty text.
     Rows with a null doc_id and repeated rows get rates like others.  Other columns are ignored.
     """
-    measured, groups, _ = fit(spark, documents.select("doc_id", "source", "text"), labels, targets, "source")
+    measured, groups, _, _ = fit(spark, documents.select("doc_id", "source", "text"), labels, targets, "source")
     out = measured.join(F.broadcast(groups), f"{_PRE}code")
     return out.select("doc_id", "source", F.col(f"{_PRE}tokens").alias("n_tokens"),
                       *[F.element_at(f"{_PRE}p", k + 1).alias(f"p_{d}") for k, d in enumerate(DOMAINS)], F.col(f"{_PRE}rate").alias("rate"))
@@ -184,7 +194,7 @@ def mixed(spark: SparkSession, documents: DataFrame, labels: DataFrame, targets:
 
     No row is repeated, since copies went before: domains are thinned to their share.  The draw is a hash of doc_id.
     """
-    _, groups, markers = fit(spark, documents.select("doc_id", "text"), labels, targets)
+    _, groups, markers, _ = fit(spark, documents.select("doc_id", "text"), labels, targets)
     draw = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 30)) / float(1 << 30)
     out = _measured(documents, markers).join(F.broadcast(groups), f"{_PRE}code")
     return out.where(F.col(f"{_PRE}rate") > draw).select(*[F.col(f"`{c}`") for c in documents.columns])

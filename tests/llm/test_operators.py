@@ -261,6 +261,35 @@ def test_mixing(spark, documents, labels, odd, nothing):
     assert mixing.mixed(spark, odd, labels).columns == odd.columns
 
 
+def some_domains(spark, clean, toxic, junk):
+    """Documents of three clear domains, labelled."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(400)]
+    text = {"clean": lambda: " ".join(rng.choice(words, 40)), "toxic": lambda: " ".join([*rng.choice(words, 36), "vile", "nasty", "awful", "foul"]),
+            "junk": lambda: " ".join(["#*#*", "$$%"] * 12 + ["AAAA"] * 16)}
+    rows = [(d, text[d]()) for d, n in (("clean", clean), ("toxic", toxic), ("junk", junk)) for _ in range(n)]
+    docs = [(i, t, "en", "s", 7, 7, 0.5, 1) for i, (_, t) in enumerate(rows)]
+    marks = [(i, int(d == "clean"), int(d == "toxic")) for i, (d, _) in enumerate(rows)]
+    return (spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, n_words long, score double, shard int"),
+            spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+
+
+def token_shares(out):
+    got = np.array([(out[f"p_{d}"] * out.n_tokens * out.rate).sum() for d in mixing.DOMAINS])
+    return got / got.sum()
+
+
+def test_mixing_raises_what_is_short(spark):
+    out = mixing.rates(spark, *some_domains(spark, 400, 12, 8)).toPandas()
+    assert out.rate.max() > 1
+    assert token_shares(out) == pytest.approx([mixing.TARGETS[d] for d in mixing.DOMAINS], rel=0.01)
+
+
+def test_mixing_names_targets_that_cannot_be_met(spark):
+    with pytest.warns(UserWarning, match="targets not met"):
+        mixing.rates(spark, *some_domains(spark, 60, 60, 60), {"clean": 1.0, "toxic": 0.0, "junk": 0.0}).count()
+
+
 def test_packing(spark, documents, rows, odd, nothing):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(BPE)
