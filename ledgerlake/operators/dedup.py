@@ -14,15 +14,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_window(key: str, order_col: str, tiebreak: list[str]) -> Window:
-    return Window.partitionBy(key).orderBy(
+def latest_window(key: str, order_col: str, tiebreak: list[str], within: tuple[str, ...] = ()) -> Window:
+    return Window.partitionBy(*within, key).orderBy(
         F.col(order_col).desc_nulls_first(),
         *[F.col(c).asc_nulls_last() for c in tiebreak])
 
 
 def keep_latest(df: DataFrame, key: str, order_col: str = "DateKey",
-                rank_col: str = "RowRank") -> DataFrame:
-    """``SELECT *, ROW_NUMBER() ... AS RowRank ... WHERE RowRank = 1``."""
-    tiebreak = [c for c in df.columns if c not in (key, order_col)]
-    w = latest_window(key, order_col, tiebreak)
+                rank_col: str = "RowRank", within: tuple[str, ...] = ()) -> DataFrame:
+    """``SELECT *, ROW_NUMBER() ... AS RowRank ... WHERE RowRank = 1``.
+
+    ``within`` names columns that the key determines: rows already dealt out by
+    them are ranked where they are, without another shuffle."""
+    tiebreak = [c for c in df.columns if c not in (key, order_col, *within)]
+    w = latest_window(key, order_col, tiebreak, within)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1)

@@ -184,13 +184,13 @@ def csv_strict_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.load_csv(spark, path, schemas.RAW_FACTSALES, ingest.SCHEDULED_STRICT_FORMAT).good.select("SalesKey", "channelKey")
 
 
-def stage_extracts(z: RawZone, stage: str) -> None:
-    """All 13 tables as the CSV extracts that ``LOADS`` expects."""
+def stage_extracts(z: RawZone, stage: str, overrides: dict[str, dict] | None = None) -> None:
+    """All 13 tables as the CSV extracts that ``LOADS`` expects; ``overrides``: other text for columns of dimensions."""
     for table, (where, fmt, _) in LOADS.items():
         if where.startswith(".*"):
             _stage_fact(z[table], f"{stage}/{where.strip('.*').split('_')[0]}_1", fmt)
         else:
-            _stage_table(z, table, f"{stage}/{where}", fmt)
+            _stage_table(z, table, f"{stage}/{where}", fmt, (overrides or {}).get(table))
 
 
 # A1-A7, B1 -- 13 extracts to a raw zone to the reporting view

@@ -381,6 +381,66 @@ def revenue_bridge_online(z: RawZone) -> DataFrame:
     ])
 
 
+# --- Q23-Q31 in one pass over a fact -------------------------------------------------
+def _master_checks(z: RawZone, fact: str, key: str, dims: list[tuple], lost_by: list[str], labels: dict[str, str]) -> DataFrame:
+    """Duplicates, rows before and after dedup, row counts, revenue and the bridge of one master view from one scan of its fact.
+
+    A dimension (outriggers joined on) is reduced to how many rows it has for each key, so the fact meets one row a
+    dimension and never multiplies: the product of those counts is the number of view rows of a fact row, 0 for an
+    orphan.  The fact is then reduced to one row a key and to one row of totals.  ``dims``: (frame, fact key, dimension key,
+    raw table, its key)."""
+    rows, weight, lost = z[fact], F.lit(1).cast("decimal(9,0)"), F.lit(False)
+    for i, (dim, fact_key, dim_key, table, table_key) in enumerate(dims):
+        per_key = dim.groupBy(F.col(dim_key).alias(f"_k{i}")).agg(F.count(F.lit(1)).alias(f"_n{i}")).where(F.col(f"_k{i}").isNotNull())
+        rows = rows.join(z.hint(per_key, table), F.col(fact_key) == F.col(f"_k{i}"), "left")
+        weight = (weight * F.coalesce(F.col(f"_n{i}"), F.lit(0)).cast("decimal(9,0)")).cast("decimal(9,0)")
+        if fact_key in lost_by:
+            _, empty, has_null = key_flags(z[table], table_key, f"m{i}")
+            lost = lost | not_in_true(F.col(fact_key), F.col(f"_n{i}"), empty, has_null)
+    rows = rows.select(F.col(key).alias("_key"), money.revenue().alias("_rev"), weight.alias("_w"), lost.alias("_lost"))
+    worth = F.when(F.col("_w") > 0, (F.col("_rev").cast("decimal(28,2)") * F.col("_w")).cast("decimal(38,2)"))
+    per_key = rows.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("raw"), F.sum("_w").alias("view"), F.sum("_rev").alias("raw_rev"), F.sum(worth).alias("view_rev"),
+        F.sum(F.when(F.col("_lost"), F.col("_rev"))).alias("lost_rev"))
+    amount = lambda c: F.sum(c).cast("decimal(38,2)")
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("decimal(38,2)")
+    one = per_key.agg(
+        number(F.sum("raw")).alias("raw"), number(F.sum("view")).alias("view"), number(F.count_if(F.col("view") > 1)).alias("repeated"),
+        number(F.count_if(F.col("view") > 0)).alias("clean"), amount("raw_rev").alias("raw_rev"), amount("view_rev").alias("view_rev"),
+        (-amount("lost_rev")).cast("decimal(38,2)").alias("less"))
+    measures = [
+        ("duplicate_suite", "Duplicate_Count", "repeated"),
+        ("dedup_before_after", "Original (Master)", "view"), ("dedup_before_after", "Cleaned (Deduplicated)", "clean"),
+        ("rowcount_reconciliation", "Raw_Count", "raw"), ("rowcount_reconciliation", "View_Count", "view"),
+        ("rowcount_reconciliation", "Difference", "cast(view - raw as decimal(38,2))"),
+        ("revenue_reconciliation", "Raw_Revenue_Calc", "raw_rev"), ("revenue_reconciliation", "View_Revenue_Total", "view_rev"),
+        ("revenue_reconciliation", "Difference", "cast(view_rev - raw_rev as decimal(38,2))"),
+        ("revenue_bridge", labels["raw"], "raw_rev"), ("revenue_bridge", labels["less"], "less"), ("revenue_bridge", labels["final"], "view_rev")]
+    stack = ", ".join(f"'{check}', '{measure}', {value}" for check, measure, value in measures)
+    return one.select(F.expr(f"stack({len(measures)}, {stack}) as (Check_Name, Measure, Value)"))
+
+
+def master_checks_sales(z: RawZone) -> DataFrame:
+    return _master_checks(z, "RAW_FACTSALES", "SalesKey", [
+        (views.store_dim(z), "StoreKey", "s_StoreKey", "RAW_DIMSTORE", "StoreKey"),
+        (views.product_dim(z, True), "ProductKey", "p_ProductKey", "RAW_DIMPRODUCT", "ProductKey"),
+        (views.date_dim(z), "DateKey", "d_DateKey", "RAW_DIMDATE", "DateKey"),
+        (z["RAW_DIMCHANNEL"], "channelKey", "ChannelKey", "RAW_DIMCHANNEL", "ChannelKey"),
+        (z["RAW_DIMPROMOTION"], "PromotionKey", "PromotionKey", "RAW_DIMPROMOTION", "PromotionKey"),
+    ], ["ProductKey", "StoreKey"], {"raw": "Raw Source For Physical Sales", "less": "Physical: Less Orphans (Invalid Products)",
+                                    "final": "Final View For Physical Sales (Actual)"})
+
+
+def master_checks_online(z: RawZone) -> DataFrame:
+    return _master_checks(z, "RAW_FACT_ONLINESALES", "OnlineSalesKey", [
+        (views.customer_dim(z), "CustomerKey", "c_CustomerKey", "RAW_DIMCUSTOMER", "CustomerKey"),
+        (views.product_dim(z, True), "ProductKey", "p_ProductKey", "RAW_DIMPRODUCT", "ProductKey"),
+        (views.date_dim(z), "DateKey", "d_DateKey", "RAW_DIMDATE", "DateKey"),
+        (views.currency_dim(z), "CurrencyKey", "cur_CurrencyKey", "RAW_DIMCURRENCY", "CurrencyKey"),
+    ], ["ProductKey"], {"raw": "Raw Source For Online Sales", "less": "Online: Less Orphans (Invalid Products)",
+                        "final": "Final View For Online Sales (Actual)"})
+
+
 # --- Q32-Q39: reporting-view validation suite ------------------------------------
 def _rowcount_pair(raw: DataFrame, view: DataFrame, raw_label: str, view_label: str) -> DataFrame:
     return union_all([labelled(count_of(raw, "Row_Count"), Source=raw_label),

@@ -283,6 +283,29 @@ register("revenue_bridge_online", q.revenue_bridge_online, _bridge(
     "Raw Source For Online Sales", "RAW_FACT_ONLINESALES", "Online: Less Orphans (Invalid Products)",
     {"ProductKey": "RAW_DIMPRODUCT"}, "Final View For Online Sales (Actual)", "VIEW_MASTER_ONLINESALES"))
 
+# --- Q23-Q31 in one pass: the rows of the separate queries, by check and measure ---------------------
+for _short, _raw, _view, _clean, _key, _lost in [
+    ("sales", "RAW_FACTSALES", "VIEW_MASTER_SALES", "VIEW_CLEAN_SALES_DATA", "SalesKey",
+     "ProductKey <> ALL (SELECT ProductKey FROM RAW_DIMPRODUCT) OR StoreKey <> ALL (SELECT StoreKey FROM RAW_DIMSTORE)"),
+    ("online", "RAW_FACT_ONLINESALES", "VIEW_MASTER_ONLINESALES", "VIEW_CLEAN_ONLINESALES_DATA", "OnlineSalesKey",
+     "ProductKey <> ALL (SELECT ProductKey FROM RAW_DIMPRODUCT)"),
+]:
+    _c = "Physical" if _short == "sales" else "Online"
+    _rows, _shown = f"(SELECT count(*) FROM {_raw})", f"(SELECT count(*) FROM {_view})"
+    _worth, _seen = f"(SELECT {_AMOUNT} FROM {_raw})", f"(SELECT sum(TotalRevenue)::{_D} FROM {_view})"
+    register(f"master_checks_{_short}", getattr(q, f"master_checks_{_short}"), oracle.with_prelude(_stacked([
+        f"SELECT '{check}' AS Check_Name, '{measure}' AS Measure, ({value})::{_D} AS Value" for check, measure, value in [
+            ("duplicate_suite", "Duplicate_Count", _repeated(_view, _key)),
+            ("dedup_before_after", "Original (Master)", _shown),
+            ("dedup_before_after", "Cleaned (Deduplicated)", f"(SELECT count(*) FROM {_clean})"),
+            ("rowcount_reconciliation", "Raw_Count", _rows), ("rowcount_reconciliation", "View_Count", _shown),
+            ("rowcount_reconciliation", "Difference", f"{_shown} - {_rows}"),
+            ("revenue_reconciliation", "Raw_Revenue_Calc", _worth), ("revenue_reconciliation", "View_Revenue_Total", _seen),
+            ("revenue_reconciliation", "Difference", f"{_seen} - {_worth}"),
+            ("revenue_bridge", f"Raw Source For {_c} Sales", _worth),
+            ("revenue_bridge", f"{_c}: Less Orphans (Invalid Products)", f"SELECT 0 - {_AMOUNT} FROM {_raw} WHERE {_lost}"),
+            ("revenue_bridge", f"Final View For {_c} Sales (Actual)", _seen)]])))
+
 # --- Q32-Q39 reporting-view validation -------------------------------------------------------------
 for _short, _raw, _raw_label, _view, _view_label, _failed in [
     ("sales", "RAW_FACTSALES", "Raw Fact Table", "VIEW_RPT_SALES_MASTER", "Final Reporting View",

@@ -7,6 +7,8 @@ NULLs rendered with one of the format's NULL tokens.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,3 +65,21 @@ def write_lines(lines: DataFrame, header: str, path: str, mode: str = "overwrite
           .option("escape", "\u0000").option("quoteAll", False).option("escapeQuotes", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .csv(path))
+
+
+def stage_named(text: DataFrame, folder: str, stem: str, fmt: CsvFormat = NAMED_FORMAT, compression: str = "gzip") -> int:
+    """Write an extract as files with stable names, ``<stem>_<part>.csv[.gz]``: an extract staged again
+    under its stem overwrites files of the same name, as a nightly export does.  Returns the number of files."""
+    spark, aside = text.sparkSession, f"{folder}/.{stem}-{uuid.uuid4().hex}"
+    (text.write.option("header", fmt.header).option("sep", fmt.sep).option("quote", fmt.quote).option("escape", fmt.escape)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .option("nullValue", "").option("emptyValue", '""').option("compression", compression).csv(aside))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(f.getPath().getName() for f in files.listStatus(path(aside)) if f.getPath().getName().startswith("part-"))
+    for i, name in enumerate(parts):
+        target = path(f"{folder}/{stem}_{i:05d}.csv{'.gz' if compression == 'gzip' else ''}")
+        files.delete(target, False)
+        files.rename(path(f"{aside}/{name}"), target)
+    files.delete(path(aside), True)
+    return len(parts)

@@ -10,12 +10,16 @@ the NULL tokens, converts each column to its declared type with ``try_cast`` /
 * (strict presets only) the row has too few or too many fields.
 
 * (formats that read line by line) a quote is left open: the row is a torn
-  piece of one whose quoted text holds a line break.  Formats with
+  piece of one whose quoted text holds a line break.  That is judged on the raw
+  record by the format's quoting rules: a quote opens at a field's start only, and
+  within quotes an escaped one is text.  Formats with
   ``multi_line`` read such rows whole; their files aren't split over tasks, so
   it is meant for dimensions with free text, not for fact extracts.
 
 ``on_error="continue"`` keeps the good rows and returns the bad ones as a
-quarantine frame; ``"abort"`` fails the job on the first bad row.  The bad-row
+quarantine frame; ``"abort"`` fails the job on the first bad row.  Line-by-line formats
+read whole records and split each once with ``from_csv``, so the raw record is
+at hand for every row.  The bad-row
 predicate reads the corrupt-record column, so every reader switches column pruning
 of the CSV parser off for itself (a parser that tokenizes only the projected
 fields does not see a field-count mismatch); session settings don't matter.
@@ -30,8 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+RECORD = "_record"                           # the raw record, of line-by-line formats
 FILE = "_source_file"
 REASON = "_reject_reason"
+BLOCK = "_file_block"                        # where the record's split of the file starts
+PLACE = "_place"                             # ascending within a split
+# No extract holds this: records are read as one field.
+_NO_SEPARATOR = "\u0001\u0002\u0001"
 
 
 @dataclass(frozen=True)
@@ -71,23 +80,34 @@ def _text_schema(schema: T.StructType) -> T.StructType:
                         + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
+def _split_once(lines: DataFrame, schema: T.StructType, fmt: CsvFormat) -> DataFrame:
+    """Records split into the declared columns and the corrupt-record column.  A generator keeps
+    the optimizer from repeating the split for every column."""
+    fields = ", ".join(f"`{f.name}` string" for f in _text_schema(schema).fields)
+    options = {"sep": fmt.sep, "quote": fmt.quote, "escape": fmt.escape, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rest = [c for c in lines.columns if c != RECORD]
+    return lines.select(F.inline(F.array(F.from_csv(F.col(RECORD), fields, options))), RECORD, *rest)
+
+
 def read_text(spark: SparkSession, path: str | list[str], schema: T.StructType,
               fmt: CsvFormat = NAMED_FORMAT, pattern: str | None = None,
               glob: str | None = None, streaming: bool = False,
-              max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """All-text frame of the declared columns, the corrupt-record column and
+              max_bytes_per_trigger: int | None = None, places: bool = False) -> DataFrame:
+    """All-text frame of the declared columns, the corrupt-record column, the raw record (NULL in
+    ``multi_line`` formats) and
     the source file.  ``pattern`` is a regular expression that must match the
     whole file path (the reference's ``PATTERN``); ``glob`` optionally prunes
-    the listing by file name first."""
+    the listing by file name first; ``places`` adds where in its file a record stands."""
     reader = spark.readStream if streaming else spark.read
-    reader = (reader.schema(_text_schema(schema))
-              .option("header", fmt.header).option("sep", fmt.sep)
-              .option("quote", fmt.quote).option("escape", fmt.escape)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("encoding", fmt.encoding).option("multiLine", fmt.multi_line)
-              # a pruned parse would silently accept short and long rows
-              .option("columnPruning", False)
+    # a pruned parse would silently accept short and long rows
+    reader = (reader.option("header", fmt.header).option("mode", "PERMISSIVE").option("encoding", fmt.encoding)
+              .option("multiLine", fmt.multi_line).option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if fmt.multi_line:
+        reader = reader.schema(_text_schema(schema)).option("sep", fmt.sep).option("quote", fmt.quote).option("escape", fmt.escape)
+    else:
+        reader = reader.schema(f"{RECORD} string, {CORRUPT} string").option("sep", _NO_SEPARATOR).option("quote", "")
     if streaming and max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if glob:
@@ -96,9 +116,24 @@ def read_text(spark: SparkSession, path: str | list[str], schema: T.StructType,
         reader = reader.option("recursiveFileLookup", True)
     df = reader.csv(path)
     df = df.withColumn(FILE, F.col("_metadata.file_path"))
+    if places:
+        df = df.withColumn(BLOCK, F.col("_metadata.file_block_start"))
+        if not streaming:  # a stream's batches get theirs when they are written
+            df = df.withColumn(PLACE, F.monotonically_increasing_id())
     if pattern:
         df = df.where(F.col(FILE).rlike(f"^(?:{pattern})$"))
-    return df
+    if fmt.multi_line:
+        return df.withColumn(RECORD, F.lit(None).cast("string"))
+    return _split_once(df.withColumn(RECORD, F.coalesce(CORRUPT, RECORD)).drop(CORRUPT), schema, fmt)
+
+
+def quote_left_open(record: Column, fmt: CsvFormat) -> Column:
+    """Whether a quote opens at a field's start of the record and is not closed in it."""
+    plain = lambda c: f"\\{c}" if not c.isalnum() else c
+    q, e, sep = plain(fmt.quote), plain(fmt.escape), f"\\Q{fmt.sep}\\E"
+    inner = f"[^{q}]*+(?:{q}{q}[^{q}]*+)*+" if fmt.escape == fmt.quote else f"[^{q}{e}]*+(?:{e}.[^{q}{e}]*+)*+"
+    rest = F.regexp_replace(record, f"(^|{sep}){q}{inner}{q}", "$1")
+    return F.when(record.contains(fmt.quote), rest.rlike(f"(?:^|{sep}){q}")).otherwise(F.lit(False))
 
 
 def _nullify(c: Column, tokens: tuple[str, ...]) -> Column:
@@ -125,11 +160,7 @@ def reject_reason(schema: T.StructType, fmt: CsvFormat) -> Column:
         if max_len:
             reasons.append(F.when(F.length(t) > max_len, F.lit(f"{f.name}: longer than {max_len}")))
     if not fmt.multi_line:
-        odd = lambda c: F.regexp_count(c, F.lit(f"\\Q{fmt.quote}\\E")) % 2 == 1
-        torn = F.coalesce(odd(F.col(CORRUPT)), F.lit(False))
-        for f in schema.fields:
-            torn = torn | F.coalesce(F.col(f.name).startswith(fmt.quote) & odd(F.col(f.name)), F.lit(False))
-        reasons.append(F.when(torn, F.lit("quote left open")))
+        reasons.append(F.when(quote_left_open(F.col(RECORD), fmt), F.lit("quote left open")))
     if not fmt.ragged:
         reasons.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("column count mismatch")))
     return F.coalesce(*reasons, F.lit(None).cast("string"))

@@ -15,15 +15,21 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Callable, Union
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
+from ledgerlake.plans import profiles
 from ledgerlake.sources import standins
-from ledgerlake.sources.csv import CUSTOMER_FORMAT, FACT_BULK_FORMAT, NAMED_FORMAT, CsvFormat, load_csv
+from ledgerlake.sinks.commitlog import LoadedTable
+from ledgerlake.sources.csv import CUSTOMER_FORMAT, FACT_BULK_FORMAT, NAMED_FORMAT, CsvFormat
+from ledgerlake.sources.loads import copy_into
 
 # A dimension with at most this many rows, and as many bytes at ROW_BYTES a row,
 # may be hinted for broadcast: the pruned columns of a view (short texts and
@@ -61,6 +67,7 @@ LOADS: dict[str, tuple[str, CsvFormat, str]] = {
     "RAW_DIMDATE": ("DimDate.csv", NAMED_FORMAT, "abort"),
 }
 CURRENT = "_current"
+LOADS_AT_ONCE = 4
 
 
 @dataclass
@@ -110,24 +117,44 @@ class RawZone:
     def from_csv(cls, spark: SparkSession, stage: str, target: str) -> "RawZone":
         """Load the 13 extracts of a folder by ``LOADS`` and open the result.
 
-        All tables go to a new version folder under ``target``; only when every
+        All tables go to a new version folder under ``target``, each as a table of committed
+        loads with its history and quarantine; only when every
         load has ended well is that folder made the current one.  A load that
         aborts leaves the zone as it was, readable by :meth:`current`.
         """
-        tables = {}
-        for name, (where, fmt, on_error) in LOADS.items():
-            pattern = where.startswith(".*")
-            tables[name] = load_csv(spark, stage if pattern else f"{stage}/{where}", schemas.RAW_TABLES[name], fmt,
-                                    on_error=on_error, pattern=where if pattern else None).good
         version = f"{target.rstrip('/')}/version={uuid.uuid4().hex}"
-        cls(tables).write(version)
+
+        def load(name: str) -> None:
+            where, fmt, on_error = LOADS[name]
+            pattern = where.startswith(".*")
+            copy_into(LoadedTable(spark, f"{version}/{name}", schemas.RAW_TABLES[name]), stage if pattern else f"{stage}/{where}", fmt,
+                      on_error, pattern=where if pattern else None, metrics=lambda good: profiles.observed(name, good))
+        # the loads don't depend on each other: the small ones run beside the facts
+        with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+            for done in [pool.submit(inheritable_thread_target(spark)(load), name) for name in sorted(LOADS, key=lambda n: n not in FACTS)]:
+                done.result()
         spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(f"{target.rstrip('/')}/{CURRENT}")
-        return cls.from_parquet(spark, version)
+        return cls.current(spark, target)
 
     @classmethod
     def current(cls, spark: SparkSession, target: str) -> "RawZone":
-        """The zone that :meth:`from_csv` last completed under ``target``."""
-        return cls.from_parquet(spark, spark.read.text(f"{target.rstrip('/')}/{CURRENT}").first()[0])
+        """The zone that :meth:`from_csv` last completed under ``target``, with all loads committed to its tables since."""
+        tables = {n: cls.loaded(spark, target, n) for n in schemas.RAW_TABLES}
+        frames = {n: t.snapshot() for n, t in tables.items()}
+        sizes = {n: (lambda n=n: measure(frames[n], schemas.TABLE_KEYS[n])) for n in frames if n not in FACTS}
+        return cls(frames, sizes)
+
+    @staticmethod
+    def loaded(spark: SparkSession, target: str, name: str) -> LoadedTable:
+        """One table of the current version with its load history: ``copy_into`` it and the next :meth:`current` has the rows."""
+        version = spark.read.text(f"{target.rstrip('/')}/{CURRENT}").first()[0]
+        return LoadedTable(spark, f"{version}/{name}", schemas.RAW_TABLES[name])
+
+    @classmethod
+    def load_report(cls, spark: SparkSession, target: str) -> DataFrame:
+        """One row for each loaded file of the 13 tables: what was parsed, loaded and rejected, and the first error."""
+        frames = [cls.loaded(spark, target, n).history().select(F.lit(n).alias("table"), "*") for n in schemas.RAW_TABLES]
+        return reduce(DataFrame.unionByName, frames)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, path: str) -> "RawZone":
@@ -138,19 +165,37 @@ class RawZone:
         manifest = json.loads(spark.read.text(f"{base}/{MANIFEST}").first()[0])  # a zone without one is incomplete
         return cls(tables, {k: (int(r), int(m)) for k, (r, m) in manifest["sizes"].items()})
 
+    @staticmethod
+    def profile(spark: SparkSession, path: str) -> DataFrame:
+        """TABLE_NAME, METRIC, VALUE (text) of a zone written by :meth:`write`, from its manifest alone."""
+        kept = spark.read.text(f"{path.rstrip('/')}/{MANIFEST}")
+        tables = F.from_json("value", "profile map<string, map<string, string>>")["profile"]
+        metrics = kept.select(F.explode(tables).alias("TABLE_NAME", "metrics"))
+        return metrics.select("TABLE_NAME", F.explode("metrics").alias("METRIC", "VALUE"))
+
     def write(self, path: str, facts_partitions: int | None = None) -> dict[str, int]:
         """Full-refresh write of every raw table as Parquet (B1), then a manifest
-        of the rows of all tables and the most rows a key of the dimensions."""
+        of the rows and the profile of all tables, observed during the write, and the
+        most rows a key of the dimensions."""
         spark = next(iter(self.tables.values())).sparkSession
         base = path.rstrip("/")
+        counts, sizes, profile = {}, {}, {}
         for name, df in self.tables.items():
             out = df
             if facts_partitions and name in ("RAW_FACTSALES", "RAW_FACT_ONLINESALES"):
                 out = df.repartition(facts_partitions)
-            out.write.mode("overwrite").parquet(f"{base}/{name}")
-        counts = {n: spark.read.parquet(f"{base}/{n}").count() for n in self.tables}
-        sizes = {n: measure(spark.read.parquet(f"{base}/{n}"), schemas.TABLE_KEYS[n]) for n in self.tables if n not in FACTS}
-        spark.createDataFrame([(json.dumps({"row_counts": counts, "sizes": sizes}),)], "j string").coalesce(1) \
+            seen = Observation()
+            # counted and profiled as it is written; only the keys of dimensions are read again
+            out.observe(seen, *profiles.observed(name)).write.mode("overwrite").parquet(f"{base}/{name}")
+            profile[name] = profiles.as_text(seen.get)
+            counts[name] = seen.get["total_rows"]
+            if name not in FACTS:
+                key = schemas.TABLE_KEYS[name]
+                keys = spark.read.schema(df.schema).parquet(f"{base}/{name}").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                r = keys.agg(F.max("n").alias("most"), F.count(key).alias("distinct")).first()
+                sizes[name] = (counts[name], int(r["most"] or 0))
+                profile[name]["distinct_keys"] = str(r["distinct"])
+        spark.createDataFrame([(json.dumps({"row_counts": counts, "sizes": sizes, "profile": profile}),)], "j string").coalesce(1) \
             .write.mode("overwrite").text(f"{base}/{MANIFEST}")
         return counts
 
