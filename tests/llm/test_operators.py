@@ -253,9 +253,10 @@ def test_mixing(spark, documents, labels, odd, nothing):
     assert np.allclose(out[["p_clean", "p_toxic", "p_junk"]].sum(axis=1), 1)
     held = {d: (out[f"p_{d}"] * out.n_tokens).sum() for d in mixing.DOMAINS}
     got = {d: (out[f"p_{d}"] * out.n_tokens * out.rate).sum() for d in mixing.DOMAINS}
+    # the targets as given, scaled to the clean tokens
     for d in ("toxic", "junk"):
-        assert got[d] == pytest.approx(min(held[d], held["clean"] / 8), rel=0.02)
-    assert got["clean"] == pytest.approx(held["clean"], rel=0.02)
+        assert got[d] == pytest.approx(held["clean"] / 8, rel=0.005)
+    assert got["clean"] == pytest.approx(held["clean"], rel=0.005)
     assert mixing.rates(spark, odd, labels).count() == 8
     assert mixing.rates(spark, nothing, labels.limit(0)).count() == 0
     assert mixing.mixed(spark, odd, labels).columns == odd.columns
@@ -290,6 +291,58 @@ def test_mixing_names_targets_that_cannot_be_met(spark):
         mixing.rates(spark, *some_domains(spark, 60, 60, 60), {"clean": 1.0, "toxic": 0.0, "junk": 0.0}).count()
 
 
+def rates_by_hand(p, tokens, share):
+    """Projected gradient on the rate of each document, in its own arithmetic."""
+    rate, goal = np.ones(len(p)), share / share[0] * (p * tokens[:, None]).sum(axis=0)[0]
+    weight = np.linalg.inv(p.T @ (p * tokens[:, None]))
+    for _ in range(2000):
+        rate = np.maximum(0, rate - p @ (weight @ ((p * (tokens * rate)[:, None]).sum(axis=0) - goal)))
+    return rate
+
+
+def test_mixing_rates_are_those_of_projected_gradient(spark):
+    out = mixing.rates(spark, *some_domains(spark, 300, 60, 40)).toPandas()
+    p, tokens = out[["p_clean", "p_toxic", "p_junk"]].to_numpy(), out.n_tokens.to_numpy(dtype=float)
+    want = rates_by_hand(p, tokens, np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]))
+    assert np.abs(out.rate - want).max() < 0.02
+
+
+def test_mixing_posteriors_follow_the_counts(spark):
+    docs, marks = some_domains(spark, 200, 50, 50)
+    found = mixing.fit(spark, docs, marks)
+    rows = found.measured.join(found.groups, "__mix_code").select("doc_id", "__mix_code", "__mix_p").toPandas()
+    domain = {r["doc_id"]: "toxic" if r["toxic"] else "clean" if r["quality"] else "junk" for r in marks.collect()}
+    bins = {c: [c // mixing.BINS ** s % mixing.BINS for s in range(4)] for c in rows["__mix_code"]}
+    n = collections.Counter((domain[i], s, b) for i, c in zip(rows.doc_id, rows["__mix_code"], strict=True) for s, b in enumerate(bins[c]))
+    total = collections.Counter(domain.values())
+    for code, got in zip(rows["__mix_code"], rows["__mix_p"], strict=True):
+        logs = [math.log((total[d] + 1) / (300 + 3)) + sum(
+            mixing.TEMPER * math.log((n[d, s, b] + 0.5) / (total[d] + 0.5 * mixing.BINS)) for s, b in enumerate(bins[code])) for d in mixing.DOMAINS]
+        powers = np.exp(np.array(logs) - max(logs))
+        assert np.allclose(list(got), powers / powers.sum(), atol=1e-9)
+
+
+@pytest.mark.parametrize("counts", [(400, 12, 8), (300, 200, 100), (300, 200, 0), (300, 0, 0), (300, 3, 150)])
+def test_thinning_keeps_clean_text_and_holds_the_ceilings(spark, counts):
+    docs, marks = some_domains(spark, *counts)
+    found = mixing.fit(spark, docs, marks, thin=True)
+    share, held = {d: x / sum(found.got.values()) for d, x in found.got.items()}, {d: x / sum(found.held.values()) for d, x in found.held.items()}
+    out = mixing.rates(spark, docs, marks, thin=True).toPandas()
+    assert out.rate.between(0, 1).all() and (out.rate[out.p_clean > 0.9] > 0.98).all()
+    for d in mixing.DOMAINS:
+        assert share[d] == pytest.approx(found.targets[d], rel=0.02, abs=1e-3)
+    for d in ("toxic", "junk"):
+        ceiling = mixing.TARGETS[d] / mixing.TARGETS["clean"] * found.got["clean"]
+        assert found.got[d] <= ceiling * 1.01 + 1e-3 * sum(found.held.values())
+        if held[d] > 2 * mixing.TARGETS[d]:
+            assert found.got[d] > 0.97 * ceiling
+    kept = {r[0] for r in mixing.mixed(spark, docs, marks).select("doc_id").collect()}
+    applied = out[out.doc_id.isin(kept)]
+    assert len(applied[applied.p_clean > 0.9]) > 0.97 * len(out[out.p_clean > 0.9])
+    if counts[1] > 100:
+        assert (applied.p_toxic * applied.n_tokens).sum() == pytest.approx(found.got["toxic"], rel=0.35)
+
+
 def test_packing(spark, documents, rows, odd, nothing):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(BPE)

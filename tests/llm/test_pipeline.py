@@ -42,9 +42,13 @@ def test_decisions(spark, stages):
     hit = [r for r in secrets.find(stages[1], model, "doc_id").collect() if r["spans"]]
     text = {r["doc_id"]: r["text"] for r in stages[2].collect()}
     assert all(secrets.REDACTED in text[r["doc_id"]] for r in hit) and not any(secrets.base_spans(t)[0] for t in text.values() if t)
-    rate = {r["doc_id"]: r["rate"] for r in mixing.rates(spark, stages[2], labels).collect()}
+    rated = mixing.rates(spark, stages[2], labels, thin=True).collect()
+    rate = {r["doc_id"]: r["rate"] for r in rated}
     left = ids(stages[3])
     assert all(i in left for i, r in rate.items() if r >= 1) and all(rate[i] > 0 for i in left)
+    # clean documents pass the stage
+    clean = [r["doc_id"] for r in rated if r["p_clean"] > 0.9]
+    assert len([i for i in clean if i in left]) > 0.97 * len(clean)
 
 
 def test_packing_covers_what_is_left(stages):
