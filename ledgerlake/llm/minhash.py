@@ -14,9 +14,14 @@ that agree by chance, and pairs clearly below the threshold go.  What is left is
 verified on full shingle sets.  After joining the verified links, a key whose
 members fell into several components is searched again, its outsiders against
 all its members, in blocks of bounded size: no pair that shares a key and could
-join two components is left out, and no key is capped.  There short sets are compared in
-full and long ones by registers; of the pairs that join the same two components a
-block passes on one, so what it emits follows its members, not their pairs.
+join two components is left out, and no key is capped.  Members go only to the blocks that hold an outsider.
+There texts are compared by their SKETCH smallest shingle hashes of 64 bits: sets that fit are compared in full, and
+of the pairs that join the same two components a block passes on one. Longer sets are compared on the hashes
+that both sketches cover; a pair clearly above the threshold counts as joined, one that is near it is passed on, and
+both are verified on full sets.
+
+A hub of many pairs is salted: its pairs are dealt out by their other end, LIMIT or so to a task, and its registers or set
+go along once for each salt.
 
 Equal sets are one vertex: copies are collapsed by a 128-bit digest of the set
 before any pairing, so a hot group of copies is one row per task.
@@ -48,8 +53,11 @@ BANDS = 40
 SLACK = 5.0
 #: Members in a block when a key is searched again.
 BLOCK = 500
-#: Sets up to this size travel in full (32 bits a shingle) when a key is searched again.
-SHORT = 700
+#: Smallest shingle hashes by which texts are compared when a key is searched again.
+SKETCH = 2048
+#: Pairs of one hub in a task; salts of a hub in the second search.
+LIMIT = 1000
+SALTS = 64
 
 _LOG = int(np.log2(REGISTERS))
 
@@ -107,25 +115,24 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for lo, hi, buf, off in tb.text_blocks(batch.column(1)):
-            n, one, two, regs, short = [], [], [], [], []
+            n, one, two, regs = [], [], [], []
             for s in shingle_sets(buf, off):
                 n.append(len(s))
                 a, b = _digest(s) if len(s) else (0, 0)
                 one.append(a)
                 two.append(b)
                 regs.append(registers(s).tobytes() if len(s) else None)
-                short.append((s & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) if 0 < len(s) <= SHORT else None)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), pa.array(regs, pa.binary()), pa.array(short, pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "set_1", "set_2", "registers", "short"])
+                 pa.array(two, pa.int64()), pa.array(regs, pa.binary())],
+                names=["doc_id", "n_shingles", "set_1", "set_2", "registers"])
 
 
 def signatures(documents: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, 128-bit digest of the set, registers (null for an
-    empty set), short (32 bits of each shingle of sets up to SHORT, else null)."""
+    empty set)."""
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _signatures, "doc_id long, n_shingles long, set_1 long, set_2 long, registers binary, short array<int>")
+        _signatures, "doc_id long, n_shingles long, set_1 long, set_2 long, registers binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -181,19 +188,25 @@ def _passes(a, b, n_a, n_b, share: float) -> np.ndarray:
 def _likely(share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = _matrix(batch.column(2)), _matrix(batch.column(3))
-            n_a, n_b = (np.asarray(batch.column(i)).astype(float) for i in (4, 5))
+            a, b = _matrix(batch.column(3)), _matrix(batch.column(4))
+            n_a, n_b = (np.asarray(batch.column(i)).astype(float) for i in (5, 6))
             keep = pa.array(_passes(a, b, n_a, n_b, share))
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1, 2)], names=["a", "b", "salt"])
     return run
 
 
+def at_hub(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """pairs (a, salt, ..) with the columns of values (a, ..): one copy of a hub's values for each of its salts."""
+    salted = pairs.select("a", "salt").distinct().join(values, "a")
+    return pairs.join(salted, ["a", "salt"])
+
+
 def likely_pairs(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose estimated Jaccard index doesn't rule out the threshold."""
+    """The pairs (a, b, salt) whose estimated Jaccard index doesn't rule out the threshold."""
     one = reps.select(F.col("doc").alias("a"), F.col("registers").alias("ra"), F.col("n_shingles").alias("na"))
     two = reps.select(F.col("doc").alias("b"), F.col("registers").alias("rb"), F.col("n_shingles").alias("nb"))
-    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "ra", "rb", "na", "nb")
-    return joined.mapInArrow(_likely(percent / 100), "a long, b long")
+    joined = at_hub(pairs.join(two, "b"), one).select("a", "b", "salt", "ra", "rb", "na", "nb")
+    return joined.mapInArrow(_likely(percent / 100), "a long, b long, salt int")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,46 +231,68 @@ def ends(pairs: DataFrame) -> DataFrame:
 
 
 def verified_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
-    both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
+    """The pairs (a, b, salt) whose full shingle sets reach the threshold, as (a, b)."""
+    both = at_hub(pairs.join(sets.toDF("b", "sb"), "b"), sets.toDF("a", "sa"))
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column(0)
+        for lo, hi, buf, off in tb.text_blocks(batch.column(1)):
+            sets = list(shingle_sets(buf, off))
+            least = [s[:SKETCH] for s in sets]  # ascending hashes
+            ends = pa.array(np.cumsum([0, *map(len, least)]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.ListArray.from_arrays(ends, pa.array(tb.signed(np.concatenate(least))))], names=["doc", "n_shingles", "sketch"])
+
+
+def sketches_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """wanted (doc_id) -> doc, n_shingles, sketch (the SKETCH smallest hashes of its set)."""
+    texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
+    return texts.mapInArrow(_sketches, "doc long, n_shingles long, sketch array<long>").where("n_shingles > 0")
+
+
 def _search(rows: pa.Table, share: float) -> list[tuple[int, int]]:
-    """Links of one block that join components: outsiders against all members."""
+    """Links of one block that may join components: outsiders against all members."""
     doc, out = np.asarray(rows["doc"]), np.asarray(rows["outsider"])
-    n, regs = np.asarray(rows["n_shingles"]).astype(float), _matrix(rows["registers"].chunk(0))
+    n = np.asarray(rows["n_shingles"])
     comp = np.unique(np.asarray(rows["component"]), return_inverse=True)[1]
-    values = rows["short"].chunk(0)
-    size = np.asarray(values.value_lengths().fill_null(0))
-    place, code = np.cumsum(size) - size, np.unique(values.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    values = rows["sketch"].chunk(0)
+    size = np.asarray(values.value_lengths())
+    place = np.cumsum(size) - size
+    # codes ascend as the (unsigned) hashes do
+    code = np.unique(values.flatten().to_numpy(zero_copy_only=False).view(np.uint64), return_inverse=True)[1]
     mark = np.zeros(len(code) + 1, dtype=bool)
-    short = size > 0
+    cut = n > size
+    last = np.where(cut, code[place + size - 1], len(code))
     members = np.flatnonzero(out != 1)
-    # members with sets in full, one after the other
-    full = members[short[members]]
-    at, begin = tb.ranges(place[full], size[full]), np.cumsum(size[full]) - size[full]
+    at, begin = tb.ranges(place[members], size[members]), np.cumsum(size[members]) - size[members]
+    theirs = code[at]
     found: list[tuple[int, int]] = []
     for i in np.flatnonzero(out != 0).tolist():
-        likeness = np.zeros(len(doc))
-        if short[i] and len(full):
-            own = code[place[i]:place[i] + size[i]]
-            mark[own] = True
-            common = np.add.reduceat(mark[code[at]], begin, dtype=np.int64)
-            mark[own] = False
-            likeness[full] = common / (size[i] + size[full] - common)
-        rest = members[comp[members] != comp[i]] if not short[i] else members[~short[members] & (comp[members] != comp[i])]
-        if len(rest):
-            ok = _passes(regs[rest], regs[i:i + 1], n[rest], n[i], share)
-            likeness[rest[ok]] = -1.0  # possible: to be verified
-        near = np.flatnonzero((likeness >= share - 1e-9) & (comp != comp[i]))
-        near = near[np.argsort(-likeness[near], kind="stable")]
-        for j in near.tolist():
+        own = code[place[i]:place[i] + size[i]]
+        mark[own] = True
+        common = np.add.reduceat(mark[theirs], begin, dtype=np.int64)
+        mark[own] = False
+        # both sets up to the last hash that both sketches cover
+        ours = np.searchsorted(own, last[members], "right")
+        them = np.add.reduceat(theirs <= last[i], begin, dtype=np.int64) if cut[i] else size[members]
+        either = ours + them - common
+        likeness = common / np.maximum(either, 1)
+        sampled = cut[members] | cut[i]
+        slack = np.where(sampled, SLACK * np.sqrt(share * (1 - share) / np.maximum(either, 1)), 0.0)
+        fits = np.minimum(n[members], n[i]) >= share * np.maximum(n[members], n[i]) - 1e-9
+        apart = comp[members] != comp[i]
+        sure = np.flatnonzero(fits & apart & (likeness >= share + slack - 1e-9))
+        for j in members[sure[np.argsort(-likeness[sure], kind="stable")]].tolist():
             if comp[j] != comp[i]:
                 found.append((int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))))
                 comp[comp == comp[j]] = comp[i]
-        found += [(int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))) for j in np.flatnonzero((likeness < 0) & (comp != comp[i])).tolist()]
+        near = members[fits & sampled & (likeness >= share - slack) & (comp[members] != comp[i])]
+        found += [(int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))) for j in near.tolist()]
     return found
 
 
@@ -288,26 +323,27 @@ def _again(share: float):
     return run
 
 
-def open_pairs(reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a band key, may join two components and weren't decided by the star."""
+def open_pairs(reps: DataFrame, labels: DataFrame, documents: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b, salt) that share a band key, may join two components and weren't decided by the star."""
     named = reps.join(labels.toDF("doc", "component"), "doc", "left") \
         .select("registers", "doc", F.coalesce("component", "doc").alias("component"))
     rows = named.mapInArrow(_bands, "key long, doc long, component long")
     keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")) \
         .where("n > 2 and least <> most").select("key", "n", "least")
-    inside = rows.join(keys, "key").withColumn("outside", F.col("component") != F.col("least"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
+    inside = scratch.table(rows.join(keys, "key").withColumn("outside", F.col("component") != F.col("least"))
+                           .withColumn("own", F.pmod(F.xxhash64("doc"), blocks).cast("int")).drop("least"))
+    sketches = scratch.table(sketches_of(inside.select(F.col("doc").alias("doc_id")).distinct(), documents))
+    asking = inside.where("outside").groupBy("key").agg(F.collect_set("own").alias("asking"))  # n / BLOCK numbers at most
     # the outsiders of block i meet the members of block j; 0: a member, 1: an outsider, 2: both
-    asks = inside.where("outside").select("key", "doc", "component", own.alias("i"), F.explode(every).alias("j")) \
+    asks = inside.where("outside").select("key", "doc", "component", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j")) \
         .select("key", "i", "j", "doc", "component", F.when(F.col("i") == F.col("j"), 2).otherwise(1).alias("outsider"))
-    members = inside.select("key", "doc", "component", "outside", own.alias("j"), F.explode(every).alias("i")) \
+    members = inside.join(asking, "key").select("key", "doc", "component", "outside", F.col("own").alias("j"), F.explode("asking").alias("i")) \
         .where("not (outside and i = j)").select("key", "i", "j", "doc", "component", F.lit(0).alias("outsider"))
-    groups = asks.union(members).join(reps.select("doc", "registers", "n_shingles", "short"), "doc") \
-        .select("key", "i", "j", "doc", "component", "outsider", "n_shingles", "registers", "short")
+    groups = asks.union(members).join(sketches, "doc").select("key", "i", "j", "doc", "component", "outsider", "n_shingles", "sketch")
     groups = groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc")
-    return groups.mapInArrow(_again(percent / 100), "a long, b long").distinct()
+    return groups.mapInArrow(_again(percent / 100), "a long, b long").distinct() \
+        .withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
 
 
 def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -330,18 +366,20 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PE
                            .join(classes, ["set_1", "set_2", "n_shingles"]).select("doc_id", "doc", "set_1", "set_2"))
     chosen = member.where("doc_id = doc").select("doc", "set_1", "set_2").distinct()
     reps = scratch.table(whole.withColumnRenamed("doc_id", "doc").join(chosen, ["doc", "set_1", "set_2"])
-                         .select("registers", "doc", "n_shingles", "short").dropDuplicates(["doc", "registers"]))
+                         .select("registers", "doc", "n_shingles").dropDuplicates(["doc", "registers"]))
 
     rows = reps.select("registers", "doc").mapInArrow(_bands, "key long, doc long")
-    hubs = rows.groupBy("key").agg(F.min("doc").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    star = rows.join(hubs, "key").where("hub <> doc").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+    hubs = rows.groupBy("key").agg(F.min("doc").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub", "n")
+    star = rows.join(hubs, "key").where("hub <> doc").groupBy(F.col("hub").alias("a"), F.col("doc").alias("b")).agg(F.max("n").alias("n"))
+    # the pairs of a hub, LIMIT or so to a salt
+    star = star.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / LIMIT)).cast("int").alias("salt"))
     likely = scratch.table(likely_pairs(star, reps, percent))
     sets = scratch.table(shingles_of(ends(likely), documents))
     links = scratch.table(verified_pairs(likely, sets, percent))
     # rows that share a doc_id tie the classes of their texts together
     ties = member.where("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     labels = scratch.table(components(spark, links, scratch))
-    more = scratch.table(open_pairs(reps, labels, percent).join(likely, ["a", "b"], "left_anti"))
+    more = scratch.table(open_pairs(reps, labels, documents, percent, scratch).join(likely, ["a", "b"], "left_anti"))
     if more.limit(1).count():
         missing = scratch.table(ends(more).join(sets.select(F.col("doc").alias("doc_id")), "doc_id", "left_anti"))
         late = documents.select("doc_id", "text").join(missing, "doc_id", "left_semi").mapInArrow(_sets, "doc long, shingles array<long>")

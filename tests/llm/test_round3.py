@@ -7,10 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import blocksearch, periodic, queries, resampling
+from ledgerlake.llm import blocksearch, minhash, periodic, queries, resampling
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -245,3 +246,74 @@ def test_top_k_odd_vectors(spark, nothing):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, rank string")
     assert blocksearch.top_k(spark, none, F.col("vec_id") % 50 == 0).count() == 0
     assert search(spark, [(1, [1.0]), (2, [2.0])]) == []
+
+
+# --- second search of near duplicates ---------------------------------------------------------
+def alike_sets(rng, many, size, shared):
+    """Sets of shingle hashes that all share some, in groups that share more."""
+    base = rng.integers(0, 2**63, shared, dtype=np.uint64)
+    group = rng.integers(0, 2**63, (8, size // 10), dtype=np.uint64)
+    out = []
+    for i in range(many):
+        own = rng.integers(0, 2**63, size - shared - size // 10, dtype=np.uint64)
+        out.append(np.unique(np.concatenate([base, group[i % 8], own])))
+    return out
+
+
+def block(sets):
+    return pa.table({"doc": pa.array(range(len(sets)), pa.int64()), "component": pa.array(range(len(sets)), pa.int64()),
+                     "outsider": pa.array([2] * len(sets), pa.int32()), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                     "sketch": pa.array([s[:minhash.SKETCH].view(np.int64).tolist() for s in sets], pa.list_(pa.int64()))}).combine_chunks()
+
+
+def likeness(a, b):
+    common = len(np.intersect1d(a, b))
+    return common / (len(a) + len(b) - common)
+
+
+@pytest.mark.parametrize("shared", [750, 800, 820])
+def test_second_search_passes_on_a_forest(shared):
+    rng = np.random.default_rng(shared)
+    for many in (50, 200):
+        sets = alike_sets(rng, many, 1000, shared)
+        found = minhash._search(block(sets), 0.75)
+        assert len(found) < many and all(likeness(sets[a], sets[b]) >= 0.75 for a, b in found)
+        root = list(range(many))
+        for a, b in found:
+            root = [root[a] if r == root[b] else r for r in root]
+        assert all(root[a] == root[b] for a in range(many) for b in range(a) if likeness(sets[a], sets[b]) >= 0.75)
+
+
+def test_second_search_of_long_sets_leaves_no_link_out():
+    rng = np.random.default_rng(9)
+    for shared in (6900, 7300, 7900):
+        sets = alike_sets(rng, 40, 9000, shared)
+        found = set(minhash._search(block(sets), 0.75))
+        root = list(range(40))
+        for a, b in found:
+            if likeness(sets[a], sets[b]) >= 0.75:
+                root = [root[a] if r == root[b] else r for r in root]
+        assert all(root[a] == root[b] for a in range(40) for b in range(a) if likeness(sets[a], sets[b]) >= 0.75)
+
+
+def test_near_duplicates_of_texts_around_the_threshold(spark):
+    rng = np.random.default_rng(12)
+    common = [f"c{i}" for i in range(3000)]
+    texts = []
+    for i in range(60):
+        size, share = (300, 0.83) if i < 40 else (3000, 0.85)
+        words = common[:size]
+        for at in rng.choice(size, int(size * (1 - share) / 5 * rng.uniform(0.4, 1.1)), replace=False):
+            words[at] = f"x{i}_{at}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    words = [t.split() for t in texts]
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in words]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark, df).collect()}
+    assert got == dict(enumerate(root)) and 2 < len(set(root)) < 60
