@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import oracle, schemas
+from ledgerlake.operators.keybitmaps import KeyBitmaps
 from ledgerlake.operators.merge import MergedView
 from ledgerlake.plans import ingest_queries as staging
 from ledgerlake.plans import views
@@ -118,6 +119,26 @@ def clean_online_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, sf_dir, "RAW_FACT_ONLINESALES", views.master_online, "OnlineSalesKey")
 
 
+# E3, Q8, Q23 -- key uniqueness of the grown views, from bitmaps that increments extend
+def _uniqueness(spark: SparkSession, sf_dir: str, name: str, view: Callable[[RawZone], DataFrame], key: str) -> DataFrame:
+    z = staging._zone(spark, sf_dir)
+    first, second, third = drops(z[name])
+    again = first.where(F.year("DateKey") == FIRST - 1)
+    bitmaps, out = KeyBitmaps(spark, scratch_path(spark, "bitmaps")), []
+    for k, rows in enumerate((first, second.unionByName(again), third)):
+        seen = bitmaps.add(view(with_fact(z, name, rows)), key, f"day {k}")
+        out.append((k, seen["rows"], seen["distinct"], seen["repeated"], seen["nulls"]))
+    return spark.createDataFrame(out, "after_drop int, total_rows long, distinct_keys long, duplicate_count long, null_keys long")
+
+
+def key_bitmaps_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _uniqueness(spark, sf_dir, "RAW_FACTSALES", views.master_sales, "SalesKey")
+
+
+def key_bitmaps_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _uniqueness(spark, sf_dir, "RAW_FACT_ONLINESALES", views.master_online, "OnlineSalesKey")
+
+
 # A5 -- what each load parsed, loaded and rejected; the quarantine that it keeps
 def _bad_prices() -> Column:
     price = F.col("UnitPrice")
@@ -241,6 +262,13 @@ register("rpt_sales_master_increments", rpt_sales_master_increments, "SELECT * F
 register("rpt_online_master_increments", rpt_online_master_increments, "SELECT * FROM VIEW_RPT_ONLINESALES_MASTER")
 register("clean_sales_merged", clean_sales_merged, "SELECT * FROM VIEW_CLEAN_SALES_DATA")
 register("clean_online_merged", clean_online_merged, "SELECT * FROM VIEW_CLEAN_ONLINESALES_DATA")
+for _short, _view, _key in (("sales", "VIEW_MASTER_SALES", "SalesKey"), ("online", "VIEW_MASTER_ONLINESALES", "OnlineSalesKey")):
+    register(f"key_bitmaps_{_short}", {"sales": key_bitmaps_sales, "online": key_bitmaps_online}[_short], f"""
+, delivered AS (SELECT {_key} AS k, {_DROP} AS d FROM {_view} UNION ALL SELECT {_key}, 1 FROM {_view} WHERE year(DateKey) = {FIRST - 1}),
+per_key AS (SELECT n::INTEGER AS after_drop, k, count(*) AS m FROM delivered JOIN range(3) AS r(n) ON d <= n GROUP BY ALL)
+SELECT after_drop, sum(m)::BIGINT AS total_rows, count(k) AS distinct_keys, count_if(m > 1)::BIGINT AS duplicate_count,
+       coalesce(sum(m) FILTER (k IS NULL), 0)::BIGINT AS null_keys
+FROM per_key GROUP BY after_drop""")
 _BAD = "count_if(UnitPrice < 0)"
 register("csv_load_report", csv_load_report, "\nUNION ALL\n".join(
     f"SELECT '{t}' AS TABLE_NAME, count(*)::BIGINT AS parsed, (count(*) - {bad})::BIGINT AS loaded, ({bad})::BIGINT AS rejected, "

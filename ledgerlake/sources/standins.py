@@ -6,7 +6,9 @@ placeholders, duplicate dimension rows).  Each column is one SQL expression
 that Spark and DuckDB evaluate identically; the row sources are DataFrame code
 here and SQL text in ``ledgerlake.oracle`` so both engines see the same input.
 
-Columns the views and checks never read are NULL of the declared type.
+Columns the views and checks never read hold values of every declared type too, so that each
+conversion of a load is exercised; store-sales columns after the quantity are
+NULL where a short record leaves them out (return flag N).
 """
 
 from __future__ import annotations
@@ -48,6 +50,13 @@ FACTSALES = {
     "UnitCost": money("floor(uc * 43 / 100)"),
     "UnitPrice": money("uc"),
     "SalesQuantity": "CAST(l_quantity AS INT)",
+    "CurrencyKey": "CAST(l_suppkey % 5 AS BIGINT)",
+    "ReturnQuantity": "CASE WHEN l_returnflag <> 'N' THEN CAST(l_linenumber AS INT) END",
+    "ReturnAmount": f"CASE WHEN l_returnflag <> 'N' THEN {money('uc * l_linenumber')} END",
+    "DiscountQuantity": "CASE WHEN l_returnflag <> 'N' AND l_linenumber > 2 THEN 1 END",
+    "DiscountAmount": f"CASE WHEN l_returnflag = 'A' THEN {money('floor(uc / 10)')} END",
+    "TotalCost": f"CASE WHEN l_returnflag <> 'N' THEN {money('floor(uc * 43 / 100) * CAST(l_quantity AS BIGINT)')} END",
+    "SalesAmount": f"CASE WHEN l_returnflag <> 'N' THEN {money('uc * CAST(l_quantity AS BIGINT)')} END",
 }
 
 FACT_ONLINESALES = {
@@ -62,6 +71,14 @@ FACT_ONLINESALES = {
     "SalesQuantity": "CAST(l_quantity AS INT)",
     "UnitCost": money("floor(uc * 43 / 100)"),
     "UnitPrice": money("uc"),
+    "StoreKey": "CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_suppkey END",
+    "PromotionKey": "CAST(round(l_discount * 100) AS BIGINT)",
+    "SalesAmount": money("uc * CAST(l_quantity AS BIGINT)"),
+    "ReturnQuantity": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END",
+    "ReturnAmount": f"CASE WHEN l_returnflag = 'R' THEN {money('uc')} END",
+    "DiscountQuantity": "CAST(l_linenumber - 1 AS INT)",
+    "DiscountAmount": money("uc * (l_linenumber - 1)"),
+    "TotalCost": money("floor(uc * 43 / 100) * CAST(l_quantity AS BIGINT)"),
 }
 
 DIMPRODUCT = {
@@ -76,6 +93,22 @@ DIMPRODUCT = {
     "UnitPrice": "CASE WHEN p_partkey % 47 = 0 THEN CAST(-1 AS DOUBLE) ELSE p_retailprice END",
     "AvailableForSaleDate": ("CAST(CAST('2000-01-01' AS DATE) + CAST(p_partkey % 1000 AS INT)"
                              " AS {TS})"),
+    "ProductDescription": "CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE 'About ' || p_name || ', ' || p_type END",
+    "Manufacturer": "'Maker of ' || p_brand",
+    "ClassID": "CAST(p_size % 3 AS STRING)",
+    "ClassName": "CASE p_size % 3 WHEN 0 THEN 'Economy' WHEN 1 THEN 'Regular' ELSE 'Deluxe' END",
+    "StyleID": "CAST(p_size % 4 AS STRING)",
+    "StyleName": "'Style ' || CAST(p_size % 4 AS STRING)",
+    "ColorID": "CAST(p_partkey % 7 AS STRING)",
+    "ColorName": "'Colour ' || CAST(p_partkey % 7 AS STRING)",
+    "Weight": "CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) / 4 END",
+    "WeightUnitMeasureID": "'ounces'",
+    "UnitOfMeasureID": "'1'",
+    "UnitOfMeasureName": "'each'",
+    "StockTypeID": "CAST(p_size % 2 + 1 AS STRING)",
+    "StockTypeName": "CASE WHEN p_size % 2 = 0 THEN 'High' ELSE 'Mid' END",
+    "UnitCost": "CAST(p_partkey % 100 AS DOUBLE) / 2",
+    "Status": "CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE 'On' END",
 }
 PRODUCT_COPY_FILTER = "p_partkey % 500 = 7"   # these part rows appear twice
 
@@ -104,6 +137,16 @@ DIMSTORE = {
                   "ELSE ' ' || s_name || ' ' END"),
     "Status": ("CASE s_suppkey % 7 WHEN 0 THEN 'N/A' WHEN 1 THEN 'Off' WHEN 2 THEN '0' "
                "WHEN 3 THEN ' Unknown' WHEN 4 THEN 'Unknown' ELSE 'On' END"),
+    "OpenDate": "CAST('2001-01-01' AS DATE) + CAST(s_suppkey % 3000 AS INT)",
+    "CloseDate": "CASE WHEN s_suppkey % 7 = 1 THEN CAST('2012-02-29' AS DATE) + CAST(s_suppkey % 900 AS INT) END",
+    "EntityKey": "s_suppkey + 1000000000000",
+    "StorePhone": "'555-' || CAST(s_suppkey AS STRING)",
+    "StoreFax": "CASE WHEN s_suppkey % 2 = 0 THEN '556-' || CAST(s_suppkey AS STRING) END",
+    "CloseReason": "CASE WHEN s_suppkey % 7 = 1 THEN 'Moved, \"for good\"' END",
+    "EmployeeCount": "CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE CAST(s_suppkey % 90 AS INT) END",
+    "SellingAreaSize": "CAST(s_suppkey % 90 * 20 AS INT)",
+    "LastRemodelDate": "CAST(CAST('2005-01-01' AS DATE) + CAST(s_suppkey % 1000 AS INT) AS {TS}) + INTERVAL '90' MINUTE",
+    "EmployeeKey": "s_suppkey % 40",
 }
 
 DIMGEOGRAPHY = {
@@ -112,6 +155,9 @@ DIMGEOGRAPHY = {
     "RegionCountryName": ("CASE n_nationkey WHEN 0 THEN 'Singapore' WHEN 1 THEN 'Malaysia' "
                           "WHEN 2 THEN 'Thailand' WHEN 3 THEN 'Vietnam' "
                           "WHEN 4 THEN ' ' || n_name || ' ' ELSE n_name END"),
+    "GeographyType": "'Country'",
+    "CityName": "CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'City of ' || n_name END",
+    "StateProvinceName": "n_name || ' (state), ' || r_name",
 }
 GEOGRAPHY_FILTER = "n_nationkey < 24"         # key 24 missing on purpose
 
@@ -119,6 +165,24 @@ DIMEMPLOYEE = {
     "EmployeeKey": "s_suppkey",
     "FirstName": "'First' || CAST(s_suppkey AS STRING)",
     "LastName": "CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE 'Last' || CAST(s_suppkey AS STRING) END",
+    "ParentEmployeeKey": "CASE WHEN s_suppkey = 1 THEN NULL ELSE CAST(floor(s_suppkey / 2) AS BIGINT) END",
+    "Title": "CASE WHEN s_suppkey % 10 = 0 THEN 'Head, region' ELSE 'Clerk' END",
+    "HireDate": "CAST('1999-05-01' AS DATE) + CAST(s_suppkey % 4000 AS INT)",
+    "BirthDate": "CAST('1955-01-31' AS DATE) + CAST(s_suppkey % 9000 AS INT)",
+    "EmailAddress": "'first' || CAST(s_suppkey AS STRING) || '@example.com'",
+    "Phone": "'555-01' || CAST(s_suppkey AS STRING)",
+    "EmergencyContactName": "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name END",
+    "EmergencyContactPhone": "'555-02' || CAST(s_suppkey AS STRING)",
+    "Gender": "CASE WHEN s_suppkey % 2 = 0 THEN 'F' ELSE 'M' END",
+    "PayFrequency": "CAST(s_suppkey % 2 + 1 AS INT)",
+    "BaseRate": "CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE CAST(s_suppkey AS DOUBLE) / 8 END",
+    "VacationHours": "CAST(s_suppkey % 99 AS INT)",
+    "DepartmentName": "'Department ' || CAST(s_suppkey % 5 AS STRING)",
+    "StartDate": "CAST('2000-02-29' AS DATE) + CAST(s_suppkey % 4000 AS INT)",
+    "Status": "'Current'",
+    "SalaryStatus": "CAST(s_suppkey % 2 AS STRING)",
+    "IsSalesPerson": "CASE WHEN s_suppkey % 4 = 0 THEN 'TRUE' ELSE 'FALSE' END",
+    "IsMarried": "CASE WHEN s_suppkey % 3 = 0 THEN 'M' ELSE 'S' END",
 }
 EMPLOYEE_FILTER = "s_suppkey < 35"            # managers 35..39 are orphans
 
@@ -133,6 +197,12 @@ DIMCUSTOMER = {
                "WHEN 3 THEN ' unknown' WHEN 4 THEN 'M' ELSE 'F' END"),
     "Education": ("CASE c_custkey % 9 WHEN 0 THEN 'n/a' WHEN 1 THEN 'UNKNOWN' WHEN 2 THEN ' ' "
                   "WHEN 3 THEN NULL ELSE 'Bachelors' END"),
+    "MaritalStatus": "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'S' END",
+    "TotalChildren": "CAST(c_custkey % 6 AS INT)",
+    "NumberChildrenAtHome": "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_custkey % 3 AS INT) END",
+    "Occupation": "'Works in ' || c_mktsegment",
+    "HouseOwnerFlag": "CAST(c_custkey % 2 AS INT)",
+    "NumberCarsOwned": "CAST(c_custkey % 5 AS INT)",
 }
 
 DIMDATE = {
@@ -140,23 +210,44 @@ DIMDATE = {
     "CalendarYear": "CAST(extract(year FROM d) AS INT)",
     "CalendarYearLabel": "'CY ' || CAST(CAST(extract(year FROM d) AS INT) AS STRING)",
     "MonthNumber": "CAST(extract(month FROM d) AS INT)",
+    "CalendarHalfYearLabel": "CASE WHEN extract(month FROM d) < 7 THEN 'H1' ELSE 'H2' END",
+    "CalendarQuarterLabel": "'Q' || CAST(CAST(floor((extract(month FROM d) + 2) / 3) AS INT) AS STRING)",
+    "CalendarMonthLabel": "'Month ' || CAST(CAST(extract(month FROM d) AS INT) AS STRING)",
+    "CalendarWeekLabel": "'Week ' || CAST(CAST(floor((extract(day FROM d) + 6) / 7) AS INT) AS STRING)",
+    "CalendarDayOfWeekLabel": "'Day ' || CAST(CAST(extract(day FROM d) AS INT) % 7 AS STRING)",
+    "FiscalYear": "CAST(extract(year FROM d) + CASE WHEN extract(month FROM d) > 6 THEN 1 ELSE 0 END AS INT)",
+    "FiscalYearLabel": "'FY ' || CAST(CAST(extract(year FROM d) AS INT) AS STRING)",
+    "FiscalHalfYearLabel": "CASE WHEN extract(month FROM d) < 7 THEN 'FH2' ELSE 'FH1' END",
+    "FiscalQuarterLabel": "CASE WHEN extract(month FROM d) % 3 = 0 THEN NULL ELSE 'FQ' END",
+    "FiscalMonthLabel": "'Fiscal month, ' || CAST(CAST(extract(month FROM d) AS INT) AS STRING)",
+    "IsWorkDay": "CASE WHEN CAST(extract(day FROM d) AS INT) % 7 < 5 THEN 'WorkDay' ELSE 'WeekEnd' END",
+    "IsHoliday": "CASE WHEN extract(day FROM d) = 1 THEN '1' ELSE '0' END",
+    "EuropeSeason": "CASE WHEN extract(month FROM d) = 12 THEN 'Holiday' ELSE 'None' END",
+    "NorthAmericaSeason": "CASE WHEN extract(month FROM d) = 11 THEN 'Thanksgiving' END",
+    "AsiaSeason": "'None'",
+    "CalendarDayOfWeekNumber": "CAST(extract(day FROM d) AS INT) % 7",
 }
 DATE_FILTER = "extract(day FROM d) <> 29"     # 29th of each month missing on purpose
 
 DIMCHANNEL = {
     "ChannelKey": "CAST(r_regionkey + 1 AS BIGINT)",
     "ChannelName": "'Channel ' || r_name",
+    "ChannelDescription": "CASE WHEN r_regionkey = 1 THEN NULL ELSE 'Sold in ' || r_name || ', directly' END",
 }
 CHANNEL_FILTER = "r_regionkey < 3"
 
 DIMCURRENCY = {
     "CurrencyKey": "CAST(r_regionkey AS BIGINT)",
     "CurrencyName": "'Currency ' || r_name",
+    "CurrencyDescription": "'Money of ' || r_name",
 }
 
 DIMPROMOTION = {
     "PromotionKey": "CAST(n_nationkey AS BIGINT)",
     "PromotionName": "CASE WHEN n_nationkey = 3 THEN ' ' ELSE 'Promo ' || n_name END",
+    "DiscountPercent": "CASE WHEN n_nationkey = 5 THEN NULL ELSE CAST(n_nationkey AS DOUBLE) / 16 END",
+    "PromotionType": "CASE WHEN n_nationkey % 2 = 0 THEN 'Seasonal Discount' ELSE 'No Discount' END",
+    "PromotionCategory": "CASE WHEN n_nationkey % 2 = 0 THEN 'Store' END",
 }
 PROMOTION_FILTER = "n_nationkey < 10"         # key 10 (a 10 % discount) missing
 

@@ -68,6 +68,8 @@ LOADS: dict[str, tuple[str, CsvFormat, str]] = {
 }
 CURRENT = "_current"
 LOADS_AT_ONCE = 4
+#: Derived zones by session object: a dead session's identity can't be mistaken for a new one's.
+_DERIVED: dict[SparkSession, dict[str, "RawZone"]] = {}
 
 
 @dataclass
@@ -113,6 +115,17 @@ class RawZone:
         sizes = {n: (lambda n=n: measure(tables[n], schemas.TABLE_KEYS[n])) for n in tables if n not in FACTS}
         return cls(tables, sizes)
 
+    @classmethod
+    def derived(cls, spark: SparkSession, sf_dir: str) -> "RawZone":
+        """``from_driver``, once for each session and folder; a stopped session's frames go with it."""
+        for old in [s for s in _DERIVED if s is not spark and s.sparkContext._jsc is None]:
+            del _DERIVED[old]
+        zones = _DERIVED.setdefault(spark, {})
+        folder = sf_dir.rstrip("/")
+        if folder not in zones:
+            zones[folder] = cls.from_driver(spark, folder)
+        return zones[folder]
+
     @classmethod
     def from_csv(cls, spark: SparkSession, stage: str, target: str) -> "RawZone":
         """Load the 13 extracts of a folder by ``LOADS`` and open the result.
@@ -212,21 +225,47 @@ class RawZone:
         Size ``buckets * files_per_bucket`` to about fact bytes / 256 MB: the
         fact is repartitioned into that many tasks by the same hash, so each
         task holds exactly one bucket and writes one file of it.
+
+        Every table is first written whole to a folder of this run and registered aside; only when all are there does each
+        name move to its new folder (an existing table by its location, so it is never missing).  A run that
+        fails leaves the tables as they were.
         """
-        from ledgerlake.schemas import TABLE_KEYS
         spark = next(iter(self.tables.values())).sparkSession
-        base = location.rstrip("/")
+        base, run = location.rstrip("/"), uuid.uuid4().hex
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
-        for name, df in self.tables.items():
-            w = df
-            if name in FACTS:
-                key = TABLE_KEYS[name]
-                w = df.repartition(buckets * files_per_bucket, key)
-                writer = w.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
-            else:
-                writer = w.write.mode("overwrite").format("parquet")
-            writer.option("path", f"{base}/{name}").saveAsTable(f"{database}.{name}")
-        return {n: measure(spark.table(f"{database}.{n}"), TABLE_KEYS[n]) for n in self.tables if n not in FACTS}
+        aside = {name: f"{database}.{name}__{run}" for name in self.tables}
+        try:
+            for name, df in self.tables.items():
+                w = df
+                if name in FACTS:
+                    key = schemas.TABLE_KEYS[name]
+                    w = df.repartition(buckets * files_per_bucket, key)
+                    writer = w.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+                else:
+                    writer = w.write.format("parquet")
+                writer.option("path", f"{base}/run={run}/{name}").saveAsTable(aside[name])
+            sizes = {n: measure(spark.table(aside[n]), schemas.TABLE_KEYS[n]) for n in self.tables if n not in FACTS}
+            for name in self.tables:
+                own = f"{database}.{name}"
+                if spark.catalog.tableExists(own) and self._same_layout(spark, own, aside[name]):
+                    spark.sql(f"ALTER TABLE {own} SET LOCATION '{base}/run={run}/{name}'")
+                    spark.catalog.refreshTable(own)
+                else:
+                    spark.sql(f"DROP TABLE IF EXISTS {own}")
+                    spark.sql(f"ALTER TABLE {aside[name]} RENAME TO {own}")
+        finally:
+            for name in aside.values():
+                spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files belong to the folder, not to this entry
+        return sizes
+
+    @staticmethod
+    def _same_layout(spark: SparkSession, one: str, other: str) -> bool:
+        """Whether two tables agree in columns and buckets, so that one may take the other's folder."""
+        def layout(table: str) -> list:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+            kept = ("Num Buckets", "Bucket Columns", "Sort Columns")
+            return [r["data_type"] for k in kept for r in rows if r["col_name"] == k]
+        return spark.table(one).schema == spark.table(other).schema and layout(one) == layout(other)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str,

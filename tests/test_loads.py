@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators.keybitmaps import KeyBitmaps
 from ledgerlake.operators.merge import MergedView
 from ledgerlake.plans import load_queries, quality, views
 from ledgerlake.session import local_path
@@ -196,3 +197,44 @@ def test_loaded_zone_reports_and_profiles(spark, zone, tmp_stage):
     assert profile["RAW_DIMPRODUCT", "total_rows"] == str(want["Total_Rows"])
     assert profile["RAW_DIMPRODUCT", "distinct_keys"] == str(want["Unique_Keys"])
     assert profile["RAW_DIMPRODUCT", "Invalid_Prices"] == str(want["Invalid_Prices"])
+
+
+def test_key_bitmaps_count_exactly(spark, tmp_stage, monkeypatch):
+    monkeypatch.setattr("ledgerlake.operators.keybitmaps.PART", 2)
+    big = 2**63 - 1
+    loads = [[1, 2, 2, None, 32768, 32769, -5, big, -big], [2, 3, 1, None, -5, 0, 70000], [], [100000, 100000, 3, -40000]]
+    bitmaps, so_far = KeyBitmaps(spark, f"{tmp_stage}/b"), []
+    assert bitmaps.counts() == {"rows": 0, "distinct": 0, "repeated": 0, "nulls": 0}
+    for i, ks in enumerate(loads):
+        so_far += ks
+        df = spark.createDataFrame([(k,) for k in ks], "k long")
+        got = bitmaps.add(df, "k", f"load {i}")
+        want = {"rows": len(so_far), "distinct": len({k for k in so_far if k is not None}),
+                "repeated": sum(so_far.count(k) > 1 for k in set(so_far)), "nulls": so_far.count(None)}
+        assert got == want == bitmaps.add(df, "k", f"load {i}")
+    untouched = [p for p, x in KeyBitmaps._parts(bitmaps.log.entries()).items() if x in bitmaps.log.entries()[0]["parts"].values()]
+    assert untouched
+
+
+def test_catalog_tables_are_replaced_whole(spark, zone, tmp_stage):
+    small = {n: zone[n].limit(5) if n.startswith("RAW_FACT") else zone[n] for n in zone.tables}
+    RawZone(small).write_tables("swap_test", f"{tmp_stage}/db", 2)
+    rows = lambda n: spark.table(f"swap_test.{n}").count()
+    assert rows("RAW_FACTSALES") == 5
+    broken = dict(small)
+    broken["RAW_DIMDATE"] = small["RAW_DIMDATE"].where(F.raise_error(F.lit("lost")).isNull())
+    broken["RAW_FACTSALES"] = zone["RAW_FACTSALES"].limit(9)
+    with pytest.raises(Exception, match="lost"):
+        RawZone(broken).write_tables("swap_test", f"{tmp_stage}/db", 2)
+    assert rows("RAW_FACTSALES") == 5 and rows("RAW_DIMDATE") == zone["RAW_DIMDATE"].count()
+    RawZone({**small, "RAW_FACTSALES": zone["RAW_FACTSALES"].limit(9)}).write_tables("swap_test", f"{tmp_stage}/db", 2)
+    assert rows("RAW_FACTSALES") == 9
+    RawZone(small).write_tables("swap_test", f"{tmp_stage}/db", 3)  # another layout
+    assert rows("RAW_FACTSALES") == 5
+    assert sorted(t.name.upper() for t in spark.catalog.listTables("swap_test")) == sorted(small)
+
+
+def test_no_stand_in_column_is_empty(zone):
+    for name, df in zone.tables.items():
+        empty = df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
+        assert all(empty.values()), (name, empty)
