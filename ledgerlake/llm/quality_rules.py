@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import stats
-from ledgerlake.llm.scratch import Scratch
+from ledgerlake.llm.scratch import Scratch, smallest
 
 SAMPLE = 10_000
 RARE = 0.06
@@ -148,9 +148,9 @@ def judge(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_loss
     labelled = scratch.table(table.join(marks, "doc_id").where(f"not ({BASE_FAILED})"))
     samples = []
     for mark in (1, 0):
-        rows = labelled.where(F.col("quality") == mark).select(*[c.alias(n) for n, c in rates.items()], F.xxhash64("doc_id").alias("h"), "doc_id") \
-            .orderBy("h", "doc_id", *rates).limit(SAMPLE).select(*rates).collect()  # SAMPLE rows of a few numbers at most
-        samples.append(np.array([list(r) for r in rows], dtype=float).reshape(-1, len(rates)))
+        rows = labelled.where(F.col("quality") == mark).select(*[c.alias(n) for n, c in rates.items()], F.xxhash64("doc_id").alias("h"), "doc_id")
+        drawn = smallest(rows, SAMPLE, "h", "doc_id", *rates)  # SAMPLE rows of a few numbers at most
+        samples.append(np.array([[r[c] for c in rates] for r in drawn], dtype=float).reshape(-1, len(rates)))
     base = table.withColumn("base_failed", F.expr(BASE_FAILED))
     if not len(samples[0]) or not len(samples[1]):
         return base.withColumn("anomaly", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))

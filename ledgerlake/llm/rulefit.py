@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import stats
-from ledgerlake.llm.scratch import Scratch
+from ledgerlake.llm.scratch import Scratch, smallest
 
 SAMPLE = 12_000
 TREES = 30
@@ -30,15 +30,15 @@ Rule = tuple[tuple[str, bool, float], ...]
 
 
 def _tree_rules(x: np.ndarray, residual: np.ndarray, names: list[str], cuts: list[np.ndarray]
-                ) -> tuple[list[Rule], np.ndarray]:
-    """The rules of one least-squares tree and its prediction."""
+                ) -> tuple[list[Rule], list[tuple[Rule, float]]]:
+    """The rules of one least-squares tree, and its leaves with their values."""
     rules: list[Rule] = []
-    fitted = np.zeros(len(x))
+    leaves: list[tuple[Rule, float]] = []
 
     def split(rows: np.ndarray, rule: Rule, depth: int) -> None:
         r = residual[rows]
-        fitted[rows] = r.mean()
         if depth == DEPTH or len(rows) < 20:
+            leaves.append((rule, float(r.mean())))
             return
         best = (1e-9, None, None)
         base = r.sum() ** 2 / len(r)
@@ -55,6 +55,7 @@ def _tree_rules(x: np.ndarray, residual: np.ndarray, names: list[str], cuts: lis
             if gain[k] > best[0]:
                 best = (gain[k], f, float(values[k]))
         if best[1] is None:
+            leaves.append((rule, float(r.mean())))
             return
         above = x[rows, best[1]] > best[2]
         for side in (False, True):
@@ -63,7 +64,15 @@ def _tree_rules(x: np.ndarray, residual: np.ndarray, names: list[str], cuts: lis
             split(rows[above == side], path, depth + 1)
 
     split(np.arange(len(x)), (), 0)
-    return rules, fitted
+    return rules, leaves
+
+
+def _fitted(leaves: list[tuple[Rule, float]], x: np.ndarray, names: list[str]) -> np.ndarray:
+    """The tree's value for each row: leaves cover all rows once."""
+    out = np.zeros(len(x))
+    for rule, value in leaves:
+        out[holds(rule, x, names)] = value
+    return out
 
 
 def holds(rule: Rule, x: np.ndarray, names: list[str]) -> np.ndarray:
@@ -89,11 +98,11 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> tuple[float, list[tup
         part = rng.random(len(y)) < 0.5
         if part.sum() < 40:
             part[:] = True
-        rules, _ = _tree_rules(x[part], residual[part], names, cuts)
+        rules, leaves = _tree_rules(x[part], residual[part], names, cuts)
         if not rules:
             break
-        _, whole = _tree_rules(x, residual, names, cuts)
-        score += RATE * 4 * whole
+        # the tree whose rules are kept moves the scores of all rows
+        score += RATE * 4 * _fitted(leaves, x, names)
         found.update(dict.fromkeys(rules))
     rules = list(found)
     if not rules:
@@ -140,9 +149,9 @@ def learn(table: DataFrame, labels: DataFrame, train: Column | None = None) -> C
         .where("doc_id is not null and quality in (0, 1)")
     if train is not None:
         marks = marks.where(train)
-    sample = table.join(marks, "doc_id").select(*[c.alias(n) for n, c in rates.items()], "quality", F.xxhash64("doc_id").alias("h"), "doc_id") \
-        .orderBy("h", "doc_id", "quality", *rates).limit(SAMPLE).select(*rates, "quality")
-    rows = np.array([list(r) for r in sample.collect()], dtype=float)  # SAMPLE rows of a few numbers at most
+    sample = table.join(marks, "doc_id").select(*[c.alias(n) for n, c in rates.items()], "quality", F.xxhash64("doc_id").alias("h"), "doc_id")
+    drawn = smallest(sample, SAMPLE, "h", "doc_id", "quality", *rates)  # SAMPLE rows of a few numbers at most
+    rows = np.array([[r[c] for c in (*rates, "quality")] for r in drawn], dtype=float)
     return compiled(*fit(rows[:, :-1], rows[:, -1], list(rates))) if len(rows) else F.lit(1.0)
 
 

@@ -5,10 +5,16 @@ bounded sample of them (``SAMPLE`` distinct values a kind, the smallest hashes)
 one probabilistic automaton a kind is inferred: the values, written in
 character classes, form a prefix tree; states whose ending and outgoing
 frequencies do not differ by more than Hoeffding's bound allows are merged,
-the deepest states last.  Other tokens give a background automaton.  Every candidate
-token of every text is then scored by the mean log-likelihood of its format: it
+the deepest states last.  All other tokens give a background automaton.
+
+Candidates are all tokens of the alphabet of the labelled values, from their kind's least length up, that no fixed span
+covers, letters alone and dotted ones included; a token that a fixed span covers in part is
+scored whole.  Each is scored by the mean log-likelihood of its format: it
 is a secret if one kind's automaton finds it as likely as that kind's own values
 (all but ``MISS`` of them) and likelier than the background does.
+
+No value leaves the worker that found it: what is gathered are classed forms (letters and digits by class) with a
+hash that tells distinct values apart.
 """
 
 from __future__ import annotations
@@ -18,10 +24,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.scratch import Scratch
+from ledgerlake.llm.scratch import Scratch, smallest
 
 KINDS = ("assign", "access", "hex")
 #: The kind of the spans that the automata add.
@@ -38,9 +45,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGN_LEAST = 6
 
-#: A candidate: a long token with a digit.
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
+#: A candidate: the alphabet of the labelled values, and the least length that any of them may have.
+_TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
+#: Verdicts on tokens that a worker keeps.
+REMEMBERED = 200_000
 
 Span = tuple[str, int, int]
 #: Transitions, ends and passes of each state.
@@ -66,10 +74,10 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[str, str]]]:
     return [(KINDS[k], s, e) for s, k, e in sorted(spans)], values
 
 
-def candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """Long tokens with a digit that overlap no span."""
+def candidates(text: str, taken: list[Span], wanted: set[str] | None = None) -> list[tuple[int, int]]:
+    """Tokens (of those wanted) that no span covers whole."""
     return [(m.start(), m.end()) for m in _TOKEN.finditer(text)
-            if _DIGIT.search(m[0]) and not any(s < m.end() and m.start() < e for _, s, e in taken)]
+            if (wanted is None or m[0] in wanted) and not any(s <= m.start() and m.end() <= e for _, s, e in taken)]
 
 
 _CLASS = {**dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "g"), **dict.fromkeys("ABCDEF", "A"),
@@ -82,7 +90,7 @@ def classes(value: str) -> str:
 
 
 def infer(values: list[str], alpha: float = ALPHA) -> Automaton:
-    """State merging over the prefix tree of the values' classes."""
+    """State merging over the prefix tree of the values' classes (a classed form is its own)."""
     child: list[dict[str, int]] = [{}]
     passed: list[dict[str, int]] = [{}]
     ends, visits = [0], [0]
@@ -169,58 +177,100 @@ def likelihood(value: str, automaton: Automaton) -> float:
     return (total + automaton[s][1]) / (len(value) + 1)
 
 
-def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 200):
-            rows = set()
-            for text in batch.column(0).slice(lo, 200).to_pylist():
-                if text:
-                    spans, values = base_spans(text)
-                    rows.update(values)
-                    rows.update((LEARNED, text[s:e]) for s, e in candidates(text, spans))
-            rows = sorted(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["kind", "value"])
+class _Smallest:
+    """The forms of the values with the smallest hashes, of all that were shown."""
+
+    def __init__(self, size: int):
+        self.size, self.held, self.most = size, {}, 1 << 64
+
+    def show(self, value: str) -> None:
+        h = xxhash.xxh3_64_intdigest(value)
+        if h < self.most:
+            self.held[h] = value
+            if len(self.held) > 4 * self.size:
+                self.held = dict(sorted(self.held.items())[:self.size])
+                self.most = max(self.held)
 
+    def forms(self) -> list[tuple[int, str]]:
+        return [(h - (1 << 63), classes(v)) for h, v in sorted(self.held.items())[:self.size]]
 
-Model = dict[str, tuple[Automaton, float]]
+
+def _labelled(sample: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a task passes on ``sample`` forms a kind at most; the smallest hashes of all are among them
+        held = {k: _Smallest(sample) for k in (*KINDS, LEARNED)}
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 200):
+                others: set[str] = set()
+                for text in batch.column(0).slice(lo, 200).to_pylist():
+                    if text:
+                        spans, values = base_spans(text)
+                        for kind, value in values:
+                            held[kind].show(value)
+                        others.update([text[s:e] for s, e in candidates(text, spans)] if spans else _TOKEN.findall(text))
+                for value in others:
+                    held[LEARNED].show(value)
+        rows = [(k, h, form) for k, x in held.items() for h, form in x.forms()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                                          pa.array([r[2] for r in rows], pa.string())], names=["kind", "h", "form"])
+    return run
+
+
+#: An automaton, the least likelihood and the least length of its kind's own values.
+Model = dict[str, tuple[Automaton, float, int]]
 
 
 def learn(spark: SparkSession, documents: DataFrame, sample: int = SAMPLE) -> Model:
-    """An automaton and a limit for each kind that the documents hold, and the background's under LEARNED."""
-    values = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(_labelled, "kind string, value string").distinct() \
-        .withColumn("h", F.xxhash64("value"))
-    model: Model = {}
+    """An automaton and a limit for each kind that the documents hold, from however few values, and the background's under LEARNED."""
     scratch = Scratch(spark, "secrets")
-    values = scratch.table(values)
+    forms = scratch.table(documents.select(F.col("text").cast("string").alias("text"))
+                          .mapInArrow(_labelled(sample), "kind string, h long, form string").distinct())
+    model: Model = {}
     for kind in (*KINDS, LEARNED):
-        rows = values.where(F.col("kind") == kind).orderBy("h", "value").limit(sample).collect()  # the documented bound
-        mine = [r["value"] for r in rows]
-        if len(mine) < 20:
-            if kind == LEARNED and model:
-                model[kind] = (infer(mine) if mine else [({}, -3.0)], 0.0)
-            continue
-        own = infer(mine[::2])
-        held = sorted(likelihood(v, own) for v in mine[1::2])
-        model[kind] = (own, held[int(MISS * len(held))])
-    scratch.drop(values)  # learned; the values themselves are not kept
-    return model
+        mine = [r["form"] for r in smallest(forms.where(F.col("kind") == kind), sample, "h", "form")]
+        if mine:
+            own = infer(mine[::2])
+            held = sorted(likelihood(v, own) for v in mine[1::2] or mine)
+            model[kind] = (own, held[int(MISS * len(held))], min(map(len, mine)))
+    scratch.drop(forms)
+    return model if any(k in model for k in KINDS) else {}
 
 
 def judge(value: str, model: Model) -> bool:
-    kinds = [k for k in KINDS if k in model]
+    form = classes(value)
+    kinds = [k for k in KINDS if k in model and len(form) >= model[k][2]]
     if not kinds:
         return False
-    best = [likelihood(value, model[k][0]) for k in kinds]
-    background = likelihood(value, model[LEARNED][0]) if LEARNED in model else -4.0
+    best = [likelihood(form, model[k][0]) for k in kinds]
+    background = likelihood(form, model[LEARNED][0]) if LEARNED in model else -4.0
     return any(p >= model[k][1] and p > background for k, p in zip(kinds, best, strict=True))
 
 
-def spans_of(text: str | None, model: Model) -> tuple[list[Span], list[Span]]:
+class Judge:
+    """Verdicts of a model, remembered for tokens that come again (REMEMBERED at most)."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def __call__(self, value: str) -> bool:
+        verdict = self.known.get(value)
+        if verdict is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            verdict = self.known[value] = judge(value, self.model)
+        return verdict
+
+
+def spans_of(text: str | None, model: Model, verdict: Judge | None = None) -> tuple[list[Span], list[Span]]:
     """The spans of the fixed patterns, and all spans, by start and kind."""
     if not text:
         return [], []
     base, _ = base_spans(text)
-    added = [(LEARNED, s, e) for s, e in candidates(text, base) if judge(text[s:e], model)]
+    if not model:
+        return base, base
+    verdict = verdict or Judge(model)
+    wanted = {t for t in set(_TOKEN.findall(text)) if verdict(t)}
+    added = [(LEARNED, s, e) for s, e in candidates(text, base, wanted)] if wanted else []
     if not added:
         return base, base
     rank = {k: i for i, k in enumerate((*KINDS, LEARNED))}
@@ -236,10 +286,11 @@ def find(documents: DataFrame, model: Model, *keep: str) -> DataFrame:
     One row for each input row; null and empty texts have no spans.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        verdict = Judge(model)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                both = [spans_of(t, model) for t in part.column(0).to_pylist()]
+                both = [spans_of(t, model, verdict) for t in part.column(0).to_pylist()]
                 arrays = [pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in x[i]] for x in both], _SPANS) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], *arrays], names=[*part.schema.names[1:], "base", "spans"])
 
@@ -263,11 +314,11 @@ def redact(documents: DataFrame, model: Model) -> DataFrame:
     names = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = names.index("text")
+        at, verdict = names.index("text"), Judge(model)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                texts = [t and redacted(t, spans_of(t, model)[1]) for t in part.column(at).to_pylist()]
+                texts = [t and redacted(t, spans_of(t, model, verdict)[1]) for t in part.column(at).to_pylist()]
                 yield part.set_column(at, "text", pa.array(texts, pa.string()))
 
     return documents.mapInArrow(run, documents.schema)

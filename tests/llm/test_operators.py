@@ -239,6 +239,107 @@ def test_secrets(spark, odd, nothing):
     assert secrets.learn(spark, nothing) == {} and secrets.find(nothing, {}, "doc_id").count() == 0
 
 
+def test_formats_of_any_length_and_alphabet_are_found(spark):
+    """Letter-only, dotted and short values are scored; prose isn't taken; few labelled values still make an automaton."""
+    rng = np.random.default_rng(8)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    words = [pick("abcdefghijklmnopqrstuvwxyz", int(n)) + "." * int(n == 9) for n in rng.integers(2, 12, 600)]
+    prose = lambda: " ".join(rng.choice(words, 30))
+    value = lambda: f"{pick('QWXZKV', 5)}.{pick('QWXZKV', 4)}"
+    few = [f"{prose()} token = {value()}" for _ in range(30)]
+    bare = [value() for _ in range(12)]
+    texts = few + [f"{prose()} see {v} there" for v in bare] + [" ".join(words)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = secrets.learn(spark, df)
+    assert set(model) == {"assign", secrets.LEARNED}
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == secrets.LEARNED]
+           for r in secrets.find(df, model, "doc_id").collect()}
+    assert all(got[30 + i] == [v] for i, v in enumerate(bare)) and got[42] == [] and all(got[i] == [] for i in range(30))
+    one = secrets.learn(spark, df.where("doc_id in (0, 42)"))
+    assert set(one) == {"assign", secrets.LEARNED}
+
+
+def test_learned_spans_against_every_token(spark):
+    """The spans that are added are those of a plain loop over all tokens, judged one by one."""
+    rng = np.random.default_rng(5)
+    hexed = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    texts = [f"words and password={hexed(20)} more, key_{hexed(26)}.x or {hexed(20)} {hexed(9)} end" for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = secrets.learn(spark, df)
+    for r in secrets.find(df, model, "doc_id").collect():
+        text = texts[r["doc_id"]]
+        base = [(s["start"], s["end"]) for s in r["base"]]
+        want = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_.=-]{6,}", text)
+                if secrets.judge(m[0], model) and not any(s <= m.start() and m.end() <= e for s, e in base)]
+        assert [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == secrets.LEARNED] == want
+
+
+def test_no_value_is_written(spark, monkeypatch):
+    from ledgerlake.llm.scratch import Scratch
+    seen, table = [], Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df: seen.append(table(self, df)) or seen[-1])
+    monkeypatch.setattr(Scratch, "drop", lambda self, *tables: None)
+    df = spark.createDataFrame([(1, "password=hunter2hunter2 and more words here")], "doc_id long, text string")
+    secrets.learn(spark, df)
+    written = [str(v) for t in seen for r in t.collect() for v in r]
+    assert any("ggg" in w for w in written) and not any("hunter" in w for w in written)
+
+
+def test_smallest_sends_about_n_rows(spark):
+    from ledgerlake.llm.scratch import smallest
+    df = spark.range(50_000).select(F.xxhash64("id").alias("h"), "id")
+    assert [tuple(r) for r in smallest(df, 100, "h", "id")] == sorted(map(tuple, df.collect()))[:100]
+    same = spark.range(5000).select(F.lit(7).cast("long").alias("h"), "id")
+    assert [r["id"] for r in smallest(same, 50, "h", "id")] == list(range(50))
+    assert len(smallest(df.limit(30), 100, "h")) == 30
+
+
+def test_compiled_column_scores_as_the_rules_do(spark):
+    from ledgerlake.llm import stats
+    rng = np.random.default_rng(6)
+    names = list(stats.features())
+    x = rng.normal(size=(600, len(names)))
+    y = ((x[:, 0] > 0.2) & (x[:, 2] < 0.5)).astype(float)
+    intercept, rules = rulefit.fit(x, y, names)
+    total = intercept + sum(w * rulefit.holds(r, x, names) for r, w in rules)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{n} double" for n in names))
+    got = np.array([r[0] for r in df.select(rulefit.compiled(intercept, rules)).collect()])
+    assert np.allclose(got, 1 / (1 + np.exp(-total))) and ((got > 0.5) == (y > 0.5)).mean() > 0.97
+
+
+def test_isolation_verdict_by_hand(spark, documents, labels):
+    """kept: the anomaly of a plain walk through every tree, against the limit."""
+    found = {r["doc_id"]: r for r in quality_rules.judge(spark, documents, labels).collect()}
+    forests, grow = [], quality_rules.grow
+    points = []
+
+    def seen(*args):
+        points.append(args)
+        forests.append(grow(*args))
+        return forests[-1]
+    quality_rules.grow = seen
+    try:
+        again = quality_rules.judge(spark, documents, labels).collect()
+    finally:
+        quality_rules.grow = grow
+    assert {r["doc_id"]: (r["kept"], r["anomaly"]) for r in again} == {i: (r["kept"], r["anomaly"]) for i, r in found.items()}
+    if forests:
+        feature, value, length, norm = forests[0]
+        x = np.concatenate(points[0])
+
+        def path(row, t):
+            node, steps = 0, 0
+            while feature[t, node] >= 0:
+                node, steps = 2 * node + 1 + (row[feature[t, node]] > value[t, node]), steps + 1
+            return length[t, node]
+        want = [2.0 ** (-np.mean([path(row, t) for t in range(len(feature))]) / norm) for row in x[:40]]
+        assert np.allclose(quality_rules.anomaly(x[:40], forests[0]), want)
+    scores = [r["anomaly"] for r in found.values() if not r["base_failed"]]
+    kept = [r["anomaly"] for r in found.values() if r["kept"]]
+    gone = [r["anomaly"] for r in found.values() if not r["kept"] and not r["base_failed"]]
+    assert scores and (not kept or not gone or max(kept) < min(gone)) and not any(r["kept"] for r in found.values() if r["base_failed"])
+
+
 def test_automaton_knows_its_format():
     rng = np.random.default_rng(1)
     mine = ["k-" + "".join(rng.choice(list("0123456789"), 12)) for _ in range(300)]
