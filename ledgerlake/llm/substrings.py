@@ -1,13 +1,15 @@
 """Removal of long passages that repeat across documents, by level-wise doubling.
 
-A window of ``WORDS`` words can repeat only if the windows of half its length in
-it repeat.  Level 1 looks at half-length windows, one chosen for each full window
-(the smallest hash inside it, so equal windows choose alike): those that occur
-in one document only end there.  Level 2 extends the repeated ones to the full
-length: only full windows around a repeated half are hashed (128 bits) and
-grouped, and nothing longer is needed, because a longer repeat is covered by its
-full windows.  A window then belongs to the smallest doc_id it starts in;
-everywhere else its words go.
+Windows repeated at one length are extended to twice that length, and only they: a
+window can repeat only if both its halves do.  The first level looks at windows of half ``WORDS``, one chosen for each
+window of ``WORDS`` (the smallest hash inside it, so equal windows choose alike): those that occur
+in one document only end there.  Each further level hashes (128 bits) and groups only windows around what repeated
+at the level before, until no candidate survives or the length asked for is reached.
+
+Removal asks for the level of ``WORDS`` words, which decides it: a longer repeat is covered by its
+windows of that length.  A window then belongs to the smallest doc_id it starts in;
+everywhere else its words go.  ``passages`` lets the doubling run until nothing repeats, and returns the
+repeated stretches of every level.
 
 Exact copies are settled before level 1 by a 128-bit digest of the word
 sequence: a copy of a smaller doc_id loses all words if it has a whole window,
@@ -114,6 +116,56 @@ def _second_pass(words: int):
     return run
 
 
+def _longer(length: int):
+    """Rows with the hashes of their repeated windows of ``length`` words -> the windows of twice that length whose halves both repeat."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, variant = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for lo, hi, buf, off in tb.text_blocks(batch.column(2)):
+                starts, ends, first = tb.word_spans(buf, off)
+                hashes = tb.span_hashes(buf, starts, ends)
+                begin, _ = _marked(hashes, first, length, batch.column(3).slice(lo, hi - lo))
+                again = np.zeros(len(starts) + 1, dtype=bool)
+                again[begin] = True
+                at, row = tb.window_rows(first, 2 * length)
+                keep = again[at] & again[at + length]
+                at, row = at[keep], row[keep]
+                one, two = tb.window_hashes(hashes, 2 * length), tb.window_hashes(hashes, 2 * length, 0x7F4A7C15)
+                once = np.unique(one[at] ^ tag(row), return_index=True)[1] if len(at) else at
+                at, row = at[once], row[once]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tb.signed(one[at])), pa.array(tb.signed(two[at])), pa.array(ids[lo:hi][row]), pa.array(variant[lo:hi][row])],
+                    names=["h1", "h2", "doc_id", "variant"])
+    return run
+
+
+def _marked(hashes: np.ndarray, first: np.ndarray, length: int, marks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """First words and rows of the windows whose hashes are among their row's marks."""
+    at, row = tb.window_rows(first, length)
+    owner = np.repeat(np.arange(len(marks)), np.asarray(marks.value_lengths().fill_null(0)))
+    known = marks.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    keep = np.isin(tb.window_hashes(hashes, length)[at] ^ tag(row), known ^ tag(owner)) if len(at) else np.zeros(0, bool)
+    return at[keep], row[keep]
+
+
+def _stretches(length: int):
+    """Rows with the hashes of their repeated windows -> the stretches of words that those cover."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            for lo, hi, buf, off in tb.text_blocks(batch.column(1)):
+                starts, ends, first = tb.word_spans(buf, off)
+                begin, row = _marked(tb.span_hashes(buf, starts, ends), first, length, batch.column(2).slice(lo, hi - lo))
+                # a window that starts beyond the end of the one before opens a stretch
+                opens = np.r_[True, (row[1:] != row[:-1]) | (begin[1:] > begin[:-1] + length)] if len(begin) else np.zeros(0, bool)
+                closes = np.r_[opens[1:], True] if len(begin) else opens
+                own = first[row[opens]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[lo:hi][row[opens]]), pa.array(np.full(int(opens.sum()), length)), pa.array(begin[opens] - own),
+                     pa.array(begin[closes] + length - own)], names=["doc_id", "length", "start", "end"])
+    return run
+
+
 def _cut(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,43 +190,65 @@ def _cut(words: int):
     return run
 
 
-def remove_repeats(spark: SparkSession, documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """documents (doc_id, text, ..) -> doc_id, n_words, n_removed, words_sha256, kept_text.
-
-    One row for each input row.  n_removed counts the words covered by a window
-    of ``words`` words whose sequence also starts in a row with a smaller
-    doc_id; kept_text has the other words joined by one blank, and is null where
-    nothing is removed (the text stays as it is).  words_sha256 is that of all words joined by
-    one blank.  Null and empty texts have no words.  Rows that share a doc_id don't
-    repeat each other.  A row with a null doc_id is never cut and
-    cuts no other.  Other columns are ignored.
-    """
-    scratch = Scratch(spark, "substrings")
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .withColumn("same", F.xxhash64("text"))
+def _texts(documents: DataFrame, words: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What every text is (one row for each input row), the first doc_id of each text, and the texts with their repeated half windows."""
     every = scratch.table(documents.select("doc_id", "text", "same").mapInArrow(
         _first_pass(words), "doc_id long, same long, n_words long, d1 long, d2 long, words_sha256 string, seeds array<long>"))
     whole = every.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= words))
     first = scratch.table(whole.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id")))
 
-    # level 1: repeated halves of the texts that aren't copies
+    # repeated halves of the texts that aren't copies
     halves = whole.join(first, ["doc_id", "d1", "d2"], "left_semi").select("doc_id", F.explode("seeds").alias("seed"))
     repeated = halves.groupBy("seed").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")) \
         .where("least <> most").select("seed")
     found = halves.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds"))
 
-    # level 2: full windows around them
     texts = documents.where(F.col("doc_id").isNotNull()).join(found, "doc_id")
     if every.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         texts = texts.dropDuplicates(["doc_id", "same"]) \
             .withColumn("variant", F.row_number().over(Window.partitionBy("doc_id").orderBy("same")).cast("long"))
     else:
         texts = texts.withColumn("variant", F.lit(1).cast("long"))
-    texts = scratch.table(texts.select("doc_id", "variant", "same", "text", "seeds"))
-    windows = texts.select("doc_id", "variant", "text", "seeds").mapInArrow(
+    return every, first, scratch.table(texts.select("doc_id", "variant", "same", "text", "seeds"))
+
+
+def _levels(texts: DataFrame, words: int, until: int | None, scratch: Scratch) -> Iterator[tuple[int, DataFrame, DataFrame]]:
+    """Lengths from ``words`` on, doubling, with the windows that may repeat and those (h1, h2, least: the first doc_id) that do.
+
+    Ends at the length ``until``, or when no candidate survives."""
+    length, candidates = words, texts.select("doc_id", "variant", "text", "seeds").mapInArrow(
         _second_pass(words), "h1 long, h2 long, doc_id long, variant long")
-    owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")) \
-        .where("least <> most").select("h1", "h2", "least")
+    while True:
+        repeated = candidates.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")) \
+            .where("least <> most").select("h1", "h2", "least")
+        yield length, candidates, repeated
+        if until is not None and 2 * length > until:
+            return
+        marks = candidates.join(repeated, ["h1", "h2"], "left_semi").groupBy("doc_id", "variant").agg(F.collect_list("h1").alias("marks"))
+        longer = scratch.table(texts.join(marks, ["doc_id", "variant"]).select("doc_id", "variant", "text", "marks")
+                               .mapInArrow(_longer(length), "h1 long, h2 long, doc_id long, variant long"))
+        if not longer.limit(1).count():
+            return
+        length, candidates = 2 * length, longer
+
+
+def remove_repeats(spark: SparkSession, documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """documents (doc_id, text, ..) -> doc_id, n_words, n_removed, words_sha256, kept_text.
+
+    One row for each input row.  n_removed counts the words covered by a window
+    of ``words`` words whose sequence also starts in a row with a smaller
+    doc_id; kept_text has the other words joined by one blank, and is null where
+    nothing is removed (the text stays as it is).  words_sha256 is that of all words joined by
+    one blank.  Null and empty texts have no words.  Rows that share a doc_id don't
+    repeat each other.  A row with a null doc_id is never cut and
+    cuts no other.  Other columns are ignored.
+    """
+    scratch = Scratch(spark, "substrings")
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .withColumn("same", F.xxhash64("text"))
+    every, first, texts = _texts(documents, words, scratch)
+    # the level of ``words`` words decides
+    _, windows, owners = next(_levels(texts, words, words, scratch))
     marks = windows.join(owners, ["h1", "h2"]).where("doc_id > least") \
         .groupBy("doc_id", "variant").agg(F.collect_list("h1").alias("marks"))
     cut = texts.join(marks, ["doc_id", "variant"]).select("text", "marks", "doc_id", "same") \
@@ -187,3 +261,23 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, words: int = WORDS
     return out.select(
         "doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         "words_sha256", F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"))
+
+
+def passages(spark: SparkSession, documents: DataFrame, words: int = WORDS, until: int | None = None) -> DataFrame:
+    """documents (doc_id, text, ..) -> doc_id, length, start, end: at each length (``words``, doubled until nothing repeats or ``until`` is
+    reached), the stretches of words that are covered by windows of that length which also start in another document.
+
+    Starts are word numbers from 0, ends exclusive.  Exact copies of a text are one document here, its smallest
+    doc_id: what only they share is no passage.  Rows that share a doc_id don't repeat each other and are given with its stretches each;
+    null doc_ids, null and empty texts and texts shorter than ``words`` have none.  Other columns are ignored.
+    """
+    scratch = Scratch(spark, "passages")
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .withColumn("same", F.xxhash64("text"))
+    _, _, texts = _texts(documents, words, scratch)
+    out = spark.createDataFrame([], "doc_id long, length long, start long, end long")
+    for length, windows, repeated in _levels(texts, words, until, scratch):
+        marks = windows.join(repeated, ["h1", "h2"], "left_semi").groupBy("doc_id", "variant").agg(F.collect_list("h1").alias("marks"))
+        out = out.union(scratch.table(texts.join(marks, ["doc_id", "variant"]).select("doc_id", "text", "marks")
+                                      .mapInArrow(_stretches(length), "doc_id long, length long, start long, end long")))
+    return out

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import blocksearch, minhash, periodic, queries, resampling
+from ledgerlake.llm import blocksearch, minhash, periodic, queries, resampling, substrings
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -317,3 +317,48 @@ def test_near_duplicates_of_texts_around_the_threshold(spark):
                 root = [low if r == high else r for r in root]
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark, df).collect()}
     assert got == dict(enumerate(root)) and 2 < len(set(root)) < 60
+
+
+# --- passages by doubling ------------------------------------------------------------------
+def stretches(texts, words):
+    """Brute force: at each doubled length, what windows shared with another text cover."""
+    split = {i: WORD.findall(t or "") for i, t in texts.items()}
+    first = {}
+    for i in sorted(split):
+        first.setdefault(tuple(split[i]), i)
+    own = {i: w for i, w in split.items() if first[tuple(w)] == i}
+    out, length = [], words
+    while True:
+        where = collections.defaultdict(set)
+        for i, w in own.items():
+            for p in range(len(w) - length + 1):
+                where[tuple(w[p:p + length])].add(i)
+        rows = []
+        for i, w in own.items():
+            end = -1
+            for p in range(len(w) - length + 1):
+                if len(where[tuple(w[p:p + length])]) > 1:
+                    if p <= end:
+                        rows[-1][3] = end = p + length
+                    else:
+                        end = p + length
+                        rows.append([i, length, p, end])
+        if not rows:
+            return sorted(map(tuple, out))
+        out, length = out + rows, 2 * length
+
+
+@pytest.mark.parametrize("words", [4, 7])
+def test_passages_double_until_none_survive(spark, documents, rows, words):
+    got = substrings.passages(spark, documents, words)
+    assert got.columns == ["doc_id", "length", "start", "end"]
+    want = stretches({r[0]: r[1] for r in rows}, words)
+    assert sorted(map(tuple, got.collect())) == want and len({w[1] for w in want}) > 3
+    some = substrings.passages(spark, documents, words, until=2 * words)
+    assert sorted(map(tuple, some.collect())) == [w for w in want if w[1] <= 2 * words]
+
+
+def test_passages_odd(spark, odd, nothing):
+    # the text of row 9 is that of row 5, and "other .." holds it; both stand under doc_id 5
+    assert substrings.passages(spark, odd, 10).where("doc_id is null").count() == 0
+    assert substrings.passages(spark, nothing).count() == 0
