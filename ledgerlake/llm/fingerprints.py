@@ -393,7 +393,9 @@ def _inside(met: DataFrame, classes: DataFrame, least: float, joining: bool) ->
     # the asking rows of block i meet the members of block j; 0: a member, 1: asks, 2: both
     asks = rows.where("asking").select("key", "doc", "component", own.alias("i"), F.explode(every).alias("j")) \
         .select("key", "i", "j", "doc", "component", F.when(F.col("i") == F.col("j"), 2).otherwise(1).alias("asks"))
-    members = rows.select("key", "doc", "component", "asking", own.alias("j"), F.explode(every).alias("i")) \
+    # members go only to the blocks that ask: n / BLOCK numbers at most a key
+    to = rows.join(rows.where("asking").groupBy("key").agg(F.collect_set(own).alias("blocks")), "key") if joining else rows.withColumn("blocks", every)
+    members = to.select("key", "doc", "component", "asking", own.alias("j"), F.explode("blocks").alias("i")) \
         .where("not (asking and i = j)").select("key", "i", "j", "doc", "component", F.lit(0).alias("asks"))
     both = asks.union(members)
     if not joining:
