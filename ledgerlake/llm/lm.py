@@ -52,6 +52,11 @@ def _unpacked(blob: bytes, n: int, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _width(words: int) -> int:
+    """Bytes of a token's index: three, or more where one text alone has more distinct words than those tell apart."""
+    return max(3, (max(words - 1, 0).bit_length() + 7) // 8)
+
+
 def _packed_keys(keys: np.ndarray) -> bytes:
     return _packed(np.diff(keys, prepend=np.uint64(0)), 8)
 
@@ -74,7 +79,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal chunk
         ids, train, sizes, hashes = (np.concatenate(x) for x in zip(*held[deleted], strict=True))
         words, tokens = np.unique(hashes, return_inverse=True)
-        row = [chunk, deleted, ids.tolist(), train.tolist(), sizes.tolist(), len(words), _packed_keys(words), len(tokens), _packed(tokens, 3)]
+        row = [chunk, deleted, ids.tolist(), train.tolist(), sizes.tolist(), len(words), _packed_keys(words), len(tokens), _packed(tokens, _width(len(words)))]
         types = [pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
         names = ["chunk", "deleted", "doc_ids", "train", "sizes", "n_words", "words", "n_tokens", "tokens"]
         chunk += 1
@@ -110,7 +115,7 @@ class _Chunk:
         self.sizes = np.asarray(row["sizes"], dtype=np.int64)
         self.train = np.asarray(row["train"], dtype=bool)
         self.words = _unpacked_keys(row["words"], row["n_words"])
-        self.tokens = _unpacked(row["tokens"], row["n_tokens"], 3).astype(np.int64)
+        self.tokens = _unpacked(row["tokens"], row["n_tokens"], _width(row["n_words"])).astype(np.int64)
         end = int(np.searchsorted(self.words, _END))
         # a document's first word follows the end of another
         self.contexts = np.r_[end, self.tokens[:-1]]

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import blocksearch, minhash, periodic, queries, resampling, substrings
+from ledgerlake.llm import blocksearch, lm, minhash, periodic, queries, resampling, substrings
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -362,3 +362,9 @@ def test_passages_odd(spark, odd, nothing):
     # the text of row 9 is that of row 5, and "other .." holds it; both stand under doc_id 5
     assert substrings.passages(spark, odd, 10).where("doc_id is null").count() == 0
     assert substrings.passages(spark, nothing).count() == 0
+
+
+def test_token_indices_are_as_wide_as_the_words_need():
+    assert [lm._width(n) for n in (0, 1, 1 << 24, (1 << 24) + 1, 1 << 32)] == [3, 3, 3, 4, 4]
+    tokens = np.array([0, 5, (1 << 24) + 7, 3], dtype=np.int64)
+    assert (lm._unpacked(lm._packed(tokens, 4), 4, 4) == tokens.astype(np.uint64)).all()
