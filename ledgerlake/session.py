@@ -74,6 +74,12 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{base}/ledgerlake/{purpose}/{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, purpose: str = "") -> bool:
+    """Delete the scratch tables of this application (of one purpose, or all) once no result that reads them is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlake/{purpose}".rstrip("/"))
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that must touch the local filesystem."""
     if path.startswith("file://"):

@@ -77,3 +77,12 @@ def test_zone_from_csv_and_abort(spark, zone, tmp_stage):
     with pytest.raises(Exception, match="load aborted"):
         RawZone.from_csv(spark, f"{tmp_stage}/stage", f"{tmp_stage}/zone")
     assert RawZone.current(spark, f"{tmp_stage}/zone")["RAW_DIMGEOGRAPHY"].count() == zone["RAW_DIMGEOGRAPHY"].count()
+
+
+def test_scratch_is_removed_on_request(spark):
+    from ledgerlake.session import remove_scratch, scratch_path
+    paths = [scratch_path(spark, p) for p in ("to-remove", "to-keep")]
+    for p in paths:
+        spark.range(3).write.parquet(p)
+    assert remove_scratch(spark, "to-remove") and not remove_scratch(spark, "to-remove")
+    assert not os.path.exists(local_path(paths[0])) and spark.read.parquet(paths[1]).count() == 3
