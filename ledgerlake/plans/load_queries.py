@@ -186,8 +186,7 @@ def _load_quoted(spark: SparkSession, sf_dir: str, fmt: ingest.CsvFormat, extra:
     rows = as_text(staging._zone(spark, sf_dir)["RAW_DIMPRODUCT"], fmt, overrides={"ProductName": _quoted(F.col("ProductName"))})
     if extra:
         # unquoted text with an inch mark, and a field too many
-        rows = rows.withColumn("ProductName", F.regexp_replace("ProductName", '[,"]', ""))
-        fields = [F.concat(F.coalesce(F.col(f.name), F.lit("")), F.lit(' 5" pipe' if f.name == "ProductName" else "")) for f in schema.fields]
+        fields = [F.concat(F.coalesce(F.regexp_replace(f.name, '[,"]', ""), F.lit("")), F.lit(' 5" pipe' if f.name == "ProductName" else "")) for f in schema.fields]
         staging.write_lines(rows.select(F.concat_ws(",", *fields, F.lit("extra")).alias("line")), ",".join(schema.names), f"{base}/DimProduct.csv")
     else:
         write_csv(rows, f"{base}/DimProduct.csv", fmt)
