@@ -368,3 +368,56 @@ def test_token_indices_are_as_wide_as_the_words_need():
     assert [lm._width(n) for n in (0, 1, 1 << 24, (1 << 24) + 1, 1 << 32)] == [3, 3, 3, 4, 4]
     tokens = np.array([0, 5, (1 << 24) + 7, 3], dtype=np.int64)
     assert (lm._unpacked(lm._packed(tokens, 4), 4, 4) == tokens.astype(np.uint64)).all()
+
+
+# --- deleted interpolation by hand -----------------------------------------------------------
+def hand_scores(rows, train, deleted):
+    """Score of each text from plain dictionaries: counts, expectation-maximisation on the deleted fold, mixture."""
+    tokens = {i: [*WORD.findall((t or "").translate(LOW)), None] for i, t in rows}
+
+    def counted(ids):
+        word, pair = collections.Counter(), collections.Counter()
+        for i in ids:
+            word.update(tokens[i])
+            pair.update(zip([None, *tokens[i]], tokens[i], strict=False))
+        return word, pair
+    of = lambda n: min(int(n).bit_length(), lm.BUCKETS - 1)
+    word, pair = counted([i for i in tokens if train(i)])
+    left, left_pair = counted([i for i in tokens if train(i) and not deleted(i)])
+    n, known, n_left = sum(word.values()), len(word), sum(left.values())
+    coarse = lambda x: 0.0 if x == 0 else 2.0 ** (round(math.log2(x) * lm.FINE) / lm.FINE)
+    seen = collections.defaultdict(list)
+    for i in tokens:
+        if train(i) and deleted(i):
+            for v, w in zip([None, *tokens[i]], tokens[i], strict=False):
+                c = left[v]
+                seen[of(c)].append((coarse((left_pair[v, w] / c if c else 0.0) * (known + 1)), coarse(left[w] / n_left * (known + 1)), 1.0))
+    mix = {}
+    for b in range(lm.BUCKETS):
+        a = [0.4, 0.4, 0.2] if b else [0.0, 0.7, 0.3]
+        if not seen[b]:
+            mix[b] = mix[b - 1] if b > 1 else [0.0, 0.9, 0.1]
+            continue
+        for _ in range(lm.ROUNDS):
+            share = np.array([0.0 if not b else 0.5, 0.5, 0.5])
+            for p in seen[b]:
+                part = np.array(p) * a
+                share += part / part.sum()
+            a = share / share.sum()
+        mix[b] = a
+    out = {}
+    for i, t in tokens.items():
+        total = 0.0
+        for v, w in zip([None, *t], t, strict=False):
+            a, u, z = mix[of(word[v])]
+            total += math.log10((a * pair[v, w] / word[v] if word[v] else 0.0) + u * word[w] / n + z / (known + 1))
+        out[i] = total
+    return out
+
+
+def test_interpolated_scores_by_hand(spark, documents, rows):
+    got = lm.interpolated(spark, documents, F.col("doc_id") % 5 != 2, F.col("doc_id") % 5 == 3).collect()
+    want = hand_scores([r[:2] for r in rows], lambda i: i % 5 != 2, lambda i: i % 5 == 3)
+    assert {r["doc_id"] for r in got} == set(want)
+    for r in got:
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-6, abs=1e-6)
