@@ -592,4 +592,4 @@ def test_windows_match_their_words():
 
 
 def test_queries_are_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
