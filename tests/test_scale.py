@@ -1,10 +1,12 @@
 """What keeps queries linear beyond the size of a broadcast: narrow shuffles, loads that convert once, merges that skip."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators.merge import MergedView
 from ledgerlake.session import local_path
 from ledgerlake.sinks import csv as sink
 from ledgerlake.sources import csv as ingest
@@ -33,3 +35,16 @@ def test_staged_files_are_bounded(spark, tmp_stage, monkeypatch):
     assert len(glob.glob(f"{local_path(tmp_stage)}/plain/part-*")) == 4
     assert sink.stage_named(rows, f"{tmp_stage}/named", "Fact") == 4
     assert spark.read.option("header", True).csv(f"{tmp_stage}/named").distinct().count() == 35
+
+
+def test_repeated_increment_is_not_computed(spark, tmp_stage):
+    rows = spark.range(40).select(F.col("id").alias("k"), F.lit(1).alias("DateKey"))
+    view = MergedView(spark, f"{tmp_stage}/m", rows.schema, "k", width=10)
+    assert view.merge(rows, key="day 0") == ["0", "1", "2", "3"]
+    # the first increment is written once, as buckets
+    assert {os.path.basename(os.path.dirname(p)) for p in view.folders().values()} == {"increment"}
+    torn = rows.withColumn("DateKey", F.raise_error(F.lit("computed")).cast("int"))
+    assert view.merge(torn, key="day 0") == []
+    later = spark.range(35, 45).select(F.col("id").alias("k"), F.lit(2).alias("DateKey"))
+    assert view.merge(later, key="day 1") == ["3", "4"]
+    assert sorted(tuple(r) for r in view.read().collect()) == [(k, 2 if k >= 35 else 1, 1) for k in range(45)]
