@@ -3,14 +3,48 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.merge import MergedView
+from ledgerlake.plans import views
+from ledgerlake.registry import QUERIES
 from ledgerlake.session import local_path
 from ledgerlake.sinks import csv as sink
 from ledgerlake.sources import csv as ingest
 from ledgerlake.sources.loads import write_flagged
+from ledgerlake.sources.zone import BROADCAST_MAX_ROWS, RawZone
+
+
+def large(zone: RawZone) -> RawZone:
+    """The zone with products and customers said to be too many for a broadcast."""
+    sizes = {n: (10, 1) for n in zone.tables if "FACT" not in n}
+    return RawZone(zone.tables, {**sizes, **{n: (BROADCAST_MAX_ROWS + 1, 2) for n in ("RAW_DIMPRODUCT", "RAW_DIMCUSTOMER")}})
+
+
+def test_texts_join_after_the_shuffles(zone):
+    z = large(zone)
+    at = views._store_star(z, views.DROP, True).columns.index
+    assert at("pro_PromotionKey") < at("p_ProductKey") < at("s_StoreName") < at("sub_ProductSubcategoryName")
+    at = views._online_star(z, views.DROP, True).columns.index
+    assert at("c_CustomerKey") < at("p_ProductKey") < at("cur_CurrencyName") < at("g_RegionCountryName")
+
+
+@pytest.mark.parametrize("name", ["rpt_sales_master", "rpt_online_master", "master_sales_v1_left", "master_online_v1_left", "sea_online_performance"])
+def test_large_dimensions_are_hashed_without_a_sort(spark, zone, name):
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    expected = rows(QUERIES[name](zone))
+    df = QUERIES[name](large(zone))
+    assert rows(df) == expected
+    assert "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_rows_of_a_key_or_a_partition_are_not_hashed(spark, zone):
+    name, partitions = "RAW_DIMPRODUCT", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = lambda size: RawZone(zone.tables, {name: size}).hashable(name)
+    assert known((600_000, 2)) and not known((600_000, 5_000)) and not known((partitions * 1_000_000, 1))
+    assert not RawZone(zone.tables, {}).hashable(name)
 
 
 def test_first_failing_rule_with_values_converted_once(spark, tmp_stage):
