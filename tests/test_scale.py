@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators.joins import GRID_MAX_COPIES, GRID_MAX_ROWS, SHUFFLED, DimJoin, _grid, star_join
 from ledgerlake.operators.merge import MergedView
 from ledgerlake.plans import views
+from ledgerlake.plans.load_queries import with_fact
 from ledgerlake.registry import QUERIES
 from ledgerlake.session import local_path
 from ledgerlake.sinks import csv as sink
@@ -82,3 +84,60 @@ def test_repeated_increment_is_not_computed(spark, tmp_stage):
     later = spark.range(35, 45).select(F.col("id").alias("k"), F.lit(2).alias("DateKey"))
     assert view.merge(later, key="day 1") == ["3", "4"]
     assert sorted(tuple(r) for r in view.read().collect()) == [(k, 2 if k >= 35 else 1, 1) for k in range(45)]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["master_online", "export_rpt_online", "rpt_online_master", "duplicate_key_listing", "duplicate_suite", "master_online_v1_left"])
+def test_two_large_dimensions_cost_one_shuffle_of_the_fact(zone, name):
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    df = QUERIES[name](large(zone))
+    plan = plan_of(df)
+    # the fact and copies of both dimensions meet in the cells of one grid, then nothing is dealt by a dimension's key
+    assert plan.count("Exchange shufflepartitionidpassthrough") == 3
+    if not name.startswith("duplicate"):
+        assert not any(f"Exchange hashpartitioning({key}Key" in plan for key in ("Customer", "Product", "c_Customer", "p_Product"))
+    assert rows(df) == rows(QUERIES[name](zone))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_grid_meets_each_pair_once(spark, how):
+    fact = spark.createDataFrame([(i, i % 13 if i % 11 else None, i % 9 - 1) for i in range(300)], "k long, x long, y long")
+    # keys that come twice, keys without a row, null keys
+    dim = lambda p, keys: spark.createDataFrame([(k, f"{p}{n}") for n, k in enumerate(keys)], f"{p}_k long, {p}_t string")
+    a, b = dim("a", [*range(10), 3, 3, None]), dim("b", [0, 1, 2, 3, 5, 5, None])
+    joins = [DimJoin(a, "x", "a_k", how, SHUFFLED, rows=3_000_000), DimJoin(b, "y", "b_k", how, SHUFFLED, rows=2_000_000)]
+    got, plain = star_join(fact, joins), fact.join(a, fact.x == a.a_k, how).join(b, fact.y == b.b_k, how)
+    assert "shufflepartitionidpassthrough" in plan_of(got)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(got) == rows(plain) and got.columns == plain.columns
+
+
+def test_grid_is_bounded():
+    assert _grid(900_000, 1_200_000, 1) == (2, 3)
+    assert _grid(5_400_000, 7_200_000, 50) == (11, 15)      # a part stays as small as a broadcast
+    a, b = _grid(900_000, 1_200_000, 10_000)
+    assert max(a, b) <= GRID_MAX_COPIES
+    assert _grid(GRID_MAX_ROWS * GRID_MAX_COPIES + 1, 1_000, 50) is None
+
+
+def test_increments_and_keys_of_other_types_meet_no_copies(spark, zone):
+    z = large(zone)
+    part = with_fact(z, "RAW_FACT_ONLINESALES", z["RAW_FACT_ONLINESALES"])
+    assert z.copied("RAW_DIMCUSTOMER") == BROADCAST_MAX_ROWS + 1 and part.copied("RAW_DIMCUSTOMER") is None
+    assert "shufflepartitionidpassthrough" not in plan_of(views.master_online(part))
+    fact, dim = spark.range(3).selectExpr("id x", "cast(id as int) y"), spark.range(3)
+    joins = [DimJoin(dim.selectExpr(f"id {p}_k"), k, f"{p}_k", "inner", SHUFFLED, rows=600_000) for k, p in (("x", "a"), ("y", "b"))]
+    assert star_join(fact, joins).count() == 3
+
+
+def test_counting_carries_no_keys_of_broadcast_dimensions(zone):
+    z = large(zone)
+    at = views._store_star(z, views.DROP, True, texts=False).columns.index
+    assert at("s_StoreName") < at("p_ProductKey") and at("d_DateKey") < at("p_ProductKey")
+    at = views._online_star(z, views.DROP, True, texts=False).columns.index
+    assert at("cur_CurrencyName") < at("c_CustomerKey")
+    at = views._online_star(z, views.DROP, True).columns.index
+    assert at("p_ProductKey") < at("d_CalendarYear")      # the year doesn't travel with the fact
