@@ -131,8 +131,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(documents: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, 128-bit digest of the set, registers (null for an
     empty set)."""
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _signatures, "doc_id long, n_shingles long, set_1 long, set_2 long, registers binary")
+    return tb.map_batches(
+        documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), _signatures, "doc_id long, n_shingles long, set_1 long, set_2 long, registers binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -206,7 +206,7 @@ def likely_pairs(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     one = reps.select(F.col("doc").alias("a"), F.col("registers").alias("ra"), F.col("n_shingles").alias("na"))
     two = reps.select(F.col("doc").alias("b"), F.col("registers").alias("rb"), F.col("n_shingles").alias("nb"))
     joined = at_hub(pairs.join(two, "b"), one).select("a", "b", "salt", "ra", "rb", "na", "nb")
-    return joined.mapInArrow(_likely(percent / 100), "a long, b long, salt int")
+    return tb.map_batches(joined, _likely(percent / 100), "a long, b long, salt int")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,7 @@ def shingles_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
     """wanted (doc_id) -> doc, shingles: the sets of those documents, from their texts."""
     # sorted and merged at any size: the list of wanted documents follows the input
     texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
-    return texts.mapInArrow(_sets, "doc long, shingles array<long>")
+    return tb.map_batches(texts, _sets, "doc long, shingles array<long>")
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -252,7 +252,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sketches_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
     """wanted (doc_id) -> doc, n_shingles, sketch (the SKETCH smallest hashes of its set)."""
     texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
-    return texts.mapInArrow(_sketches, "doc long, n_shingles long, sketch array<long>").where("n_shingles > 0")
+    return tb.map_batches(texts, _sketches, "doc long, n_shingles long, sketch array<long>").where("n_shingles > 0")
 
 
 def _search(rows: pa.Table, share: float) -> list[tuple[int, int]]:
@@ -327,7 +327,7 @@ def open_pairs(reps: DataFrame, labels: DataFrame, documents: DataFrame, percent
     """Pairs (a, b, salt) that share a band key, may join two components and weren't decided by the star."""
     named = reps.join(labels.toDF("doc", "component"), "doc", "left") \
         .select("registers", "doc", F.coalesce("component", "doc").alias("component"))
-    rows = named.mapInArrow(_bands, "key long, doc long, component long")
+    rows = tb.map_batches(named, _bands, "key long, doc long, component long")
     keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")) \
         .where("n > 2 and least <> most").select("key", "n", "least")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -342,7 +342,7 @@ def open_pairs(reps: DataFrame, labels: DataFrame, documents: DataFrame, percent
         .where("not (outside and i = j)").select("key", "i", "j", "doc", "component", F.lit(0).alias("outsider"))
     groups = asks.union(members).join(sketches, "doc").select("key", "i", "j", "doc", "component", "outsider", "n_shingles", "sketch")
     groups = groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc")
-    return groups.mapInArrow(_again(percent / 100), "a long, b long").distinct() \
+    return tb.map_batches(groups, _again(percent / 100), "a long, b long").distinct() \
         .withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
 
 
@@ -368,7 +368,7 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PE
     reps = scratch.table(whole.withColumnRenamed("doc_id", "doc").join(chosen, ["doc", "set_1", "set_2"])
                          .select("registers", "doc", "n_shingles").dropDuplicates(["doc", "registers"]))
 
-    rows = reps.select("registers", "doc").mapInArrow(_bands, "key long, doc long")
+    rows = tb.map_batches(reps.select("registers", "doc"), _bands, "key long, doc long")
     hubs = rows.groupBy("key").agg(F.min("doc").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub", "n")
     star = rows.join(hubs, "key").where("hub <> doc").groupBy(F.col("hub").alias("a"), F.col("doc").alias("b")).agg(F.max("n").alias("n"))
     # the pairs of a hub, LIMIT or so to a salt
@@ -382,7 +382,7 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PE
     more = scratch.table(open_pairs(reps, labels, documents, percent, scratch).join(likely, ["a", "b"], "left_anti"))
     if more.limit(1).count():
         missing = scratch.table(ends(more).join(sets.select(F.col("doc").alias("doc_id")), "doc_id", "left_anti"))
-        late = documents.select("doc_id", "text").join(missing, "doc_id", "left_semi").mapInArrow(_sets, "doc long, shingles array<long>")
+        late = tb.map_batches(documents.select("doc_id", "text").join(missing, "doc_id", "left_semi"), _sets, "doc long, shingles array<long>")
         more = scratch.table(verified_pairs(more, sets.union(late), percent))
         labels = scratch.table(components(spark, links.union(more), scratch))
     shared = member.groupBy("doc_id").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least <> most")

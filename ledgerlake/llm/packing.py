@@ -136,7 +136,7 @@ def _pieces(path: str, size: int, end_id: int):
         units = Units(path)
         tail = np.array([end_id], dtype="<u4")
         for batch in batches:
-            for lo, hi, buf, off in tb.text_blocks(batch.column(0), 4 << 20):
+            for lo, hi, buf, off in tb.text_blocks(batch.column(0)):
                 ids, at = units.block(buf, off)
                 raw = buf.tobytes()
                 row, start, length, crc, whole = [], [], [], [], []
@@ -282,8 +282,8 @@ def pack(spark: SparkSession, documents: DataFrame, tokenizer: str, size: int =
     grain = GRAIN if size % GRAIN == 0 else 1
     fine = size // grain
     documents = documents.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-    pieces = documents.mapInArrow(
-        _pieces(tokenizer, size, end_id), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long") \
+    pieces = tb.map_batches(
+        documents, _pieces(tokenizer, size, end_id), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long") \
         .withColumn("class", F.ceil(F.col("length") / grain).cast("int"))
     pieces = scratch.table(pieces)
     rows = pieces.count()

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm import textblocks as tb
 from ledgerlake.llm.scratch import Scratch, smallest
 
 KINDS = ("assign", "access", "hex")
@@ -223,8 +224,8 @@ Model = dict[str, tuple[Automaton, float, int]]
 def learn(spark: SparkSession, documents: DataFrame, sample: int = SAMPLE) -> Model:
     """An automaton and a limit for each kind that the documents hold, from however few values, and the background's under LEARNED."""
     scratch = Scratch(spark, "secrets")
-    forms = scratch.table(documents.select(F.col("text").cast("string").alias("text"))
-                          .mapInArrow(_labelled(sample), "kind string, h long, form string").distinct())
+    forms = scratch.table(tb.map_batches(documents.select(F.col("text").cast("string").alias("text")),
+                                         _labelled(sample), "kind string, h long, form string").distinct())
     model: Model = {}
     for kind in (*KINDS, LEARNED):
         mine = [r["form"] for r in smallest(forms.where(F.col("kind") == kind), sample, "h", "form")]
@@ -296,7 +297,7 @@ def find(documents: DataFrame, model: Model, *keep: str) -> DataFrame:
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.select(*keep).schema)
     spans = "array<struct<kind: string, start: bigint, end: bigint>>"
-    return documents.select(F.col("text").cast("string").alias("text"), *keep).mapInArrow(run, f"{fields}base {spans}, spans {spans}")
+    return tb.map_batches(documents.select(F.col("text").cast("string").alias("text"), *keep), run, f"{fields}base {spans}, spans {spans}")
 
 
 def redacted(text: str, spans: list[Span]) -> str:
@@ -321,4 +322,4 @@ def redact(documents: DataFrame, model: Model) -> DataFrame:
                 texts = [t and redacted(t, spans_of(t, model, verdict)[1]) for t in part.column(at).to_pylist()]
                 yield part.set_column(at, "text", pa.array(texts, pa.string()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return tb.map_batches(documents, run, documents.schema)

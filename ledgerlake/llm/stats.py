@@ -85,8 +85,8 @@ def with_counts(rows: DataFrame, *keep: str) -> DataFrame:
     """The columns in keep and COUNTS of each row's text; null texts count as empty."""
     kept = rows.select(*keep)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema)
-    return rows.select(F.col("text").cast("string").alias("text"), *keep).mapInArrow(
-        _run, fields + "".join(f", {c} long" for c in COUNTS))
+    return tb.map_batches(rows.select(F.col("text").cast("string").alias("text"), *keep),
+                          _run, fields + "".join(f", {c} long" for c in COUNTS))
 
 
 def features() -> dict[str, Column]:
