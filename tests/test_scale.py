@@ -2,6 +2,7 @@
 
 import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +10,12 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.joins import GRID_MAX_COPIES, GRID_MAX_ROWS, SHUFFLED, DimJoin, _grid, star_join
 from ledgerlake.operators.merge import MergedView
-from ledgerlake.plans import views
+from ledgerlake import schemas
+from ledgerlake.plans import ingest_queries, load_queries, views
+from ledgerlake.plans.ingest_queries import stage_extracts
 from ledgerlake.plans.load_queries import with_fact
 from ledgerlake.registry import QUERIES
-from ledgerlake.session import local_path
+from ledgerlake.session import SHUFFLE_CLEANUP, local_path, shuffles_removed
 from ledgerlake.sinks import csv as sink
 from ledgerlake.sources import csv as ingest
 from ledgerlake.sources.loads import write_flagged
@@ -141,3 +144,76 @@ def test_counting_carries_no_keys_of_broadcast_dimensions(zone):
     assert at("cur_CurrencyName") < at("c_CustomerKey")
     at = views._online_star(z, views.DROP, True).columns.index
     assert at("p_ProductKey") < at("d_CalendarYear")      # the year doesn't travel with the fact
+
+
+def made_zone(spark) -> RawZone:
+    """Few rows of own making: keys 0 to 24, everything else NULL; the online fact is shuffled to be made."""
+    rows = lambda s, key, n: spark.range(n).selectExpr(*[f"CAST({'id' if f.name == key and f.dataType == T.LongType() else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}" for f in s.fields])
+    tables = {n: rows(s, schemas.TABLE_KEYS[n], 25) for n, s in schemas.RAW_TABLES.items()}
+    return RawZone({**tables, "RAW_FACT_ONLINESALES": tables["RAW_FACT_ONLINESALES"].repartition(3, "OnlineSalesKey")})
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def gone(spark, before: set[str]) -> bool:
+    """Whether no other shuffle files than these are left; they are removed a moment after the write."""
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.1)
+    return not shuffle_files(spark) - before
+
+
+def staged_names(path: str) -> list[str]:
+    return [f for _, _, names in os.walk(local_path(path)) for f in names if f.startswith("part-")]
+
+
+def test_gzipped_extracts_load_the_same_rows(spark, tmp_stage, monkeypatch):
+    monkeypatch.setattr(sink, "GZIPPED_RECORDS", 10)
+    z, before = made_zone(spark), shuffle_files(spark)
+    stage_extracts(z, f"{tmp_stage}/stage", gzipped=True)
+    assert gone(spark, before)      # staging leaves no shuffle behind
+    assert all(f.endswith(".csv.gz") for f in staged_names(f"{tmp_stage}/stage"))
+    assert len(staged_names(f"{tmp_stage}/stage/FactSales_1")) >= 3
+    loaded = RawZone.from_csv(spark, f"{tmp_stage}/stage", f"{tmp_stage}/zone", gzipped=True)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    for name in z.tables:
+        assert rows(loaded[name]) == rows(z[name]), name
+    # the plain names of the facts are not taken for packed ones, nor the other way round
+    assert RawZone.from_csv(spark, f"{tmp_stage}/stage", f"{tmp_stage}/plain")["RAW_FACTSALES"].count() == 0
+    written = [f for f in staged_names(f"{tmp_stage}/zone") if f.endswith(".parquet")]
+    assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
+def test_writes_within_remove_their_shuffles(spark, tmp_stage):
+    was, before = spark.conf.get(SHUFFLE_CLEANUP), shuffle_files(spark)
+    with shuffles_removed(spark):
+        spark.range(1000).repartition(5, "id").write.parquet(f"{tmp_stage}/a")
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert gone(spark, before) and spark.read.parquet(f"{tmp_stage}/a").count() == 1000
+    with pytest.raises(ValueError), shuffles_removed(spark):
+        raise ValueError
+    assert spark.conf.get(SHUFFLE_CLEANUP) == was
+
+
+@pytest.mark.parametrize("name, stem, query", [("RAW_FACT_ONLINESALES", "FactOnlineSales", "rpt_online_master")])
+def test_increments_are_staged_packed_and_loaded_once(spark, tmp_stage, monkeypatch, name, stem, query):
+    z = made_zone(spark)
+    dates = F.expr("CASE WHEN id < 10 THEN TIMESTAMP_NTZ'1997-05-01' WHEN id < 17 THEN TIMESTAMP_NTZ'1999-05-01' WHEN id < 24 THEN TIMESTAMP_NTZ'2001-05-01' END")
+    key = schemas.TABLE_KEYS[name]
+    z = RawZone({**z.tables, name: z[name].withColumn("id", F.col(key)).withColumn("DateKey", dates).drop("id")})
+    monkeypatch.setattr(ingest_queries, "_zone", lambda *_: z)
+    monkeypatch.setattr(load_queries, "scratch_path", lambda *_: tmp_stage)
+    loaded = load_queries._increments(spark, "", name, stem)
+    staged = staged_names(f"{tmp_stage}/stage")
+    assert staged and all(f.endswith(".csv.gz") for f in staged)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    # the torn loads' rows lie beside, unseen; bulk files are not read again
+    assert rows(loaded[name]) == rows(z[name])
+    history = RawZone.loaded(spark, f"{tmp_stage}/zone", name).history().groupBy("commit").agg(F.sum("loaded").alias("n"))
+    assert {r["commit"]: r["n"] for r in history.collect()} == {0: 10, 1: 7, 2: 8}
+    torn = [d for d, _, fs in os.walk(local_path(f"{tmp_stage}/zone")) if f"{name}/data" in d and d.endswith("verdict=good")]
+    assert len(torn) == 5
+    assert rows(QUERIES[query](loaded)) == rows(QUERIES[query](z))
