@@ -198,7 +198,7 @@ def test_writes_within_remove_their_shuffles(spark, tmp_stage):
     assert spark.conf.get(SHUFFLE_CLEANUP) == was
 
 
-@pytest.mark.parametrize("name, stem, query", [("RAW_FACT_ONLINESALES", "FactOnlineSales", "rpt_online_master")])
+@pytest.mark.parametrize("name, stem, query", [("RAW_FACTSALES", "FactSales", "rpt_sales_master"), ("RAW_FACT_ONLINESALES", "FactOnlineSales", "rpt_online_master")])
 def test_increments_are_staged_packed_and_loaded_once(spark, tmp_stage, monkeypatch, name, stem, query):
     z = made_zone(spark)
     dates = F.expr("CASE WHEN id < 10 THEN TIMESTAMP_NTZ'1997-05-01' WHEN id < 17 THEN TIMESTAMP_NTZ'1999-05-01' WHEN id < 24 THEN TIMESTAMP_NTZ'2001-05-01' END")
