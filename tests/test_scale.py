@@ -147,9 +147,15 @@ def test_counting_carries_no_keys_of_broadcast_dimensions(zone):
 
 
 def made_zone(spark) -> RawZone:
-    """Few rows of own making: keys 0 to 24, everything else NULL; the online fact is shuffled to be made."""
-    rows = lambda s, key, n: spark.range(n).selectExpr(*[f"CAST({'id' if f.name == key and f.dataType == T.LongType() else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}" for f in s.fields])
-    tables = {n: rows(s, schemas.TABLE_KEYS[n], 25) for n, s in schemas.RAW_TABLES.items()}
+    """Rows of own making: 25 keys a table, dates of five years, all else NULL; the online fact is shuffled to be made."""
+    def made(f: T.StructField) -> str:
+        key, day = f.name.endswith("Key"), "DATE'1997-05-01' + CAST(365 * (id % 5) AS INT)"
+        if isinstance(f.dataType, (T.LongType, T.DecimalType)) and (key or f.name.startswith("Unit")):
+            return "id"
+        if f.name == "DateKey":
+            return day.replace("(id % 5)", "id") if isinstance(f.dataType, T.DateType) else f"CASE WHEN id < 24 THEN {day} END"
+        return "NULL"
+    tables = {n: spark.range(25).selectExpr(*[f"CAST({made(f)} AS {f.dataType.simpleString()}) AS {f.name}" for f in s.fields]) for n, s in schemas.RAW_TABLES.items()}
     return RawZone({**tables, "RAW_FACT_ONLINESALES": tables["RAW_FACT_ONLINESALES"].repartition(3, "OnlineSalesKey")})
 
 
@@ -201,9 +207,6 @@ def test_writes_within_remove_their_shuffles(spark, tmp_stage):
 @pytest.mark.parametrize("name, stem, query", [("RAW_FACTSALES", "FactSales", "rpt_sales_master"), ("RAW_FACT_ONLINESALES", "FactOnlineSales", "rpt_online_master")])
 def test_increments_are_staged_packed_and_loaded_once(spark, tmp_stage, monkeypatch, name, stem, query):
     z = made_zone(spark)
-    dates = F.expr("CASE WHEN id < 10 THEN TIMESTAMP_NTZ'1997-05-01' WHEN id < 17 THEN TIMESTAMP_NTZ'1999-05-01' WHEN id < 24 THEN TIMESTAMP_NTZ'2001-05-01' END")
-    key = schemas.TABLE_KEYS[name]
-    z = RawZone({**z.tables, name: z[name].withColumn("id", F.col(key)).withColumn("DateKey", dates).drop("id")})
     monkeypatch.setattr(ingest_queries, "_zone", lambda *_: z)
     monkeypatch.setattr(load_queries, "scratch_path", lambda *_: tmp_stage)
     loaded = load_queries._increments(spark, "", name, stem)
@@ -213,7 +216,21 @@ def test_increments_are_staged_packed_and_loaded_once(spark, tmp_stage, monkeypa
     # the torn loads' rows lie beside, unseen; bulk files are not read again
     assert rows(loaded[name]) == rows(z[name])
     history = RawZone.loaded(spark, f"{tmp_stage}/zone", name).history().groupBy("commit").agg(F.sum("loaded").alias("n"))
-    assert {r["commit"]: r["n"] for r in history.collect()} == {0: 10, 1: 7, 2: 8}
+    assert {r["commit"]: r["n"] for r in history.collect()} == {0: 5, 1: 10, 2: 10}
     torn = [d for d, _, fs in os.walk(local_path(f"{tmp_stage}/zone")) if f"{name}/data" in d and d.endswith("verdict=good")]
     assert len(torn) == 5
-    assert rows(QUERIES[query](loaded)) == rows(QUERIES[query](z))
+    view = rows(QUERIES[query](loaded))
+    assert len(view) == 24 and view == rows(QUERIES[query](z))
+
+
+def test_zone_of_the_view_is_loaded_from_packed_extracts(spark, tmp_stage, monkeypatch):
+    z = made_zone(spark)
+    monkeypatch.setattr(ingest_queries, "_zone", lambda *_: z)
+    monkeypatch.setattr(ingest_queries, "scratch_path", lambda *_: tmp_stage)
+    got = ingest_queries.rpt_sales_master_from_csv(spark, "")
+    staged = staged_names(f"{tmp_stage}/stage")
+    assert staged and all(f.endswith(".csv.gz") for f in staged)
+    loaded = RawZone.current(spark, f"{tmp_stage}/zone")
+    assert all(loaded[n].count() == 25 for n in z.tables)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert len(rows(got)) == 24 and rows(got) == rows(QUERIES["rpt_sales_master"](z))
